@@ -53,6 +53,6 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text (null: 0). Words are counted as breaks, so that no array of them is built."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    """Number of words of a text (null: 0)."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_BREAK))).cast("long")

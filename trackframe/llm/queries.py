@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, mixing, sharding
 from .common import read_documents
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir)).withColumn("target", F.round("target", 4))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_documents(spark, sf_dir))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(read_documents(spark, sf_dir), shards=40)
+
+
 def queries() -> dict:
     return {
+        "op4_mixing": op4_mixing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_sharding": op6_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_mixing": mixing.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
     }

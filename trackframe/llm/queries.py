@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, mixing, sharding
+from . import exact_dedup, fingerprints, mixing, packing, sharding
 from .common import read_documents
 
 
@@ -21,6 +21,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_documents(spark, sf_dir), shards=40)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_documents(spark, sf_dir))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_documents(spark, sf_dir))
 
@@ -30,6 +34,7 @@ def queries() -> dict:
         "op4_mixing": op4_mixing,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
+        "op7_packing": op7_packing,
         "op9_fingerprints": op9_fingerprints,
     }
 

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, mixing, packing, sharding
-from .common import read_documents
+from . import exact_dedup, fingerprints, lang_id, mixing, packing, sharding
+from .common import id_remainder, read_documents
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
+    model = lang_id.fit(docs.where(~F.col("held_out")))
+    return lang_id.identify(docs, model, keep=("doc_id", "held_out"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +37,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_language_id": op1_language_id,
         "op4_mixing": op4_mixing,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, lang_id, mixing, packing, sharding
+from . import exact_dedup, fingerprints, lang_id, mixing, near_dedup, packing, sharding
 from .common import id_remainder, read_documents
 
 
@@ -35,6 +35,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_documents(spark, sf_dir))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(read_documents(spark, sf_dir), k=3, num=85, den=100)
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
@@ -43,6 +47,7 @@ def queries() -> dict:
         "op6_sharding": op6_sharding,
         "op7_packing": op7_packing,
         "op9_fingerprints": op9_fingerprints,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
@@ -50,4 +55,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_mixing": mixing.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op10_near_dedup": near_dedup.ORACLE_SQL,
     }

@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import map_arrow
+
 SAMPLES, EXCERPT, MOST_LANGUAGES = 320, 2000, 1000
 LEVEL, CONTENT, WINDOW = 6, 65_536, 1024
 SHORT, EXTRA = 1024, 3
@@ -134,7 +136,7 @@ def identify(docs: DataFrame, model: Classifier, text_col: str = "text", keep: t
                 names=[*(f.name for f in kept), "lang_pred", "score", "margin"],
             )
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema).withColumn("rejected", F.col("margin") < MARGIN)
+    return map_arrow(docs.select(*keep, F.col(text_col).alias("__text")), run, schema).withColumn("rejected", F.col("margin") < MARGIN)
 
 
 def accepted(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:

@@ -27,60 +27,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import map_arrow
 from .common import stage
+from .hashing import U64, mix, word_hashes
 
 SAMPLES, BANDS, MISS = 256, 48, 1e-5
 SKETCH_BITS = 1024
 BLOCK, CHUNK = 1024, 256
 
-_U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C17
-_rng = np.random.default_rng(20_240_601)
-_BYTE = _rng.integers(0, 2**64, 256, dtype=_U64)
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
-_A = (_rng.integers(0, 2**32, SAMPLES, dtype=_U64) | _U64(1)).astype(np.uint32)[:, None]
-_B = _rng.integers(0, 2**32, SAMPLES, dtype=_U64).astype(np.uint32)[:, None]
-_SALT = _rng.integers(0, 2**64, SAMPLES, dtype=_U64)
+_rng = np.random.default_rng(20_240_602)
+_A = (_rng.integers(0, 2**32, SAMPLES, dtype=U64) | U64(1)).astype(np.uint32)[:, None]
+_B = _rng.integers(0, 2**32, SAMPLES, dtype=U64).astype(np.uint32)[:, None]
+_SALT = _rng.integers(0, 2**64, SAMPLES, dtype=U64)
 _ORDERS = [_rng.permutation(SAMPLES) for _ in range(BANDS)]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U64(27))) * _U64(0x94D049BB133111EB)
-    return x ^ (x >> _U64(31))
-
-
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as many as the longest text so far needs."""
-
-    up = down = np.ones(1, dtype=_U64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(cls.up):
-            size = 1 << (n - 1).bit_length()
-            inverse = pow(_BASE, -1, 2**64)
-            for name, base in (("up", _BASE), ("down", inverse)):
-                factors = np.full(size, base, dtype=_U64)
-                factors[0] = 1
-                setattr(cls, name, np.multiply.accumulate(factors))
-        return cls.up, cls.down
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words in order, A to Z lower-cased; polynomial hashes from one prefix sum over the bytes."""
-    data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), dtype=np.uint8)
-    if not len(data):
-        return np.zeros(0, dtype=_U64)
-    inside = np.concatenate(([False], ~_IS_SPACE[data], [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    up, down = _Powers.of(len(data))
-    sums = np.concatenate((np.zeros(1, dtype=_U64), np.cumsum(_BYTE[data] * up[: len(data)], dtype=_U64)))
-    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U64))
-
-
 def shingle_set(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; of fewer words, one hash of the whole sequence."""
     words = word_hashes(text)
@@ -88,14 +49,14 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
         return words
     width = min(k, len(words))
     rows = len(words) - width + 1
-    out = words[:rows] + _U64(width)
+    out = words[:rows] + U64(width)
     for j in range(1, width):
-        out = _mix(out * _U64(0xD1342543DE82EF95) + words[j : j + rows])
-    return np.unique(_mix(out))
+        out = mix(out * U64(0xD1342543DE82EF95) + words[j : j + rows])
+    return np.unique(mix(out))
 
 
 def minhash(shingles: np.ndarray) -> np.ndarray:
-    x = (shingles >> _U64(32)).astype(np.uint32)
+    x = (shingles >> U64(32)).astype(np.uint32)
     best = np.full(SAMPLES, 2**32 - 1, dtype=np.uint32)
     for at in range(0, len(x), 1024):
         part = x[None, at : at + 1024] * _A
@@ -116,14 +77,14 @@ def band_index(rows: int) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray, index: np.ndarray) -> np.ndarray:
-    key = np.arange(1, len(index) + 1, dtype=_U64)
-    for column in samples[index].astype(_U64).T:
-        key = _mix(key * _U64(0xD1342543DE82EF95) + column)
+    key = np.arange(1, len(index) + 1, dtype=U64)
+    for column in samples[index].astype(U64).T:
+        key = mix(key * U64(0xD1342543DE82EF95) + column)
     return key.view(np.int64)
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    bits = (_mix(samples.astype(_U64) + _SALT) % _U64(SKETCH_BITS)).astype(np.int64)
+    bits = (mix(samples.astype(U64) + _SALT) % U64(SKETCH_BITS)).astype(np.int64)
     return np.packbits((np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -144,8 +105,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: f
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), k)
                 sizes.append(len(s))
-                a.append(int(_mix(s + _U64(11)).sum(dtype=_U64).view(np.int64)) if len(s) else 0)
-                b.append(int(_mix(s ^ _U64(0x5851F42D4C957F2D)).sum(dtype=_U64).view(np.int64)) if len(s) else 0)
+                a.append(int(mix(s + U64(11)).sum(dtype=U64).view(np.int64)) if len(s) else 0)
+                b.append(int(mix(s ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64).view(np.int64)) if len(s) else 0)
                 samples = minhash(s) if len(s) else None
                 keys.append(band_keys(samples, index) if len(s) else None)
                 sketches.append(odd_sketch(samples) if len(s) else None)
@@ -156,7 +117,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: f
             )
 
     schema = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, sketch array<long>"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
 def differing_bits(x: Column, y: Column) -> Column:
@@ -195,7 +156,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return together.mapInArrow(run, "a long, b long")
+    return map_arrow(together, run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,7 +192,7 @@ def cross_component_pairs(members: DataFrame, most_bits: int, num: int, den: int
     def pairs_of(group: list[tuple]) -> tuple[list[int], list[int]]:
         _, i, j = group[0][:3]
         block, node, label, n = (np.array([g[c] for g in group], dtype=np.int64) for c in (3, 4, 5, 6))
-        sketch = np.array([g[7] for g in group], dtype=np.int64).view(_U64)
+        sketch = np.array([g[7] for g in group], dtype=np.int64).view(U64)
         a, b = [], []
         for r in range(len(group) - 1):
             fits = (label[r + 1 :] != label[r]) & (np.minimum(n[r], n[r + 1 :]) * den >= np.maximum(n[r], n[r + 1 :]) * num)
@@ -258,7 +219,7 @@ def cross_component_pairs(members: DataFrame, most_bits: int, num: int, den: int
             x, y = pairs_of(group)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(rows, run, "a long, b long").distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -319,10 +280,10 @@ def _unnamed_texts(docs: DataFrame, id_col: str, text_col: str, k: int, in_bucke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), k) for t in batch.column(0)]
-            names = [int((_mix(s + _U64(11)).sum(dtype=_U64) | _U64(2**63)).view(np.int64)) if len(s) else None for s in sets]
+            names = [int((mix(s + U64(11)).sum(dtype=U64) | U64(2**63)).view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch.column(0)], names=["node", "text"])
 
-    rows = docs.where(F.col(id_col).isNull()).select(F.col(text_col).alias("text")).mapInArrow(run, "node long, text string")
+    rows = map_arrow(docs.where(F.col(id_col).isNull()).select(F.col(text_col).alias("text")), run, "node long, text string")
     return rows.join(in_buckets, "node", "left_semi").dropDuplicates(["node"])
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..runtime import map_arrow
 from .common import stage
 
 CAPACITY = 1024
@@ -71,7 +72,7 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int,
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(pieces, schema)
+    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), pieces, schema)
 
 
 def best_fit(waiting: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, lang_id, mixing, near_dedup, packing, sharding
+from . import exact_dedup, fingerprints, lang_id, mixing, near_dedup, packing, sharding, toxicity
 from .common import id_remainder, read_documents
 
 
@@ -31,6 +31,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(id_remainder(F.col("doc_id"), 4) != 2)
+    return toxicity.toxicity(docs, toxicity.fit(docs, labels), keep=("doc_id", "held_out"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_documents(spark, sf_dir))
 
@@ -46,6 +52,7 @@ def queries() -> dict:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
         "op7_packing": op7_packing,
+        "op8_toxicity": op8_toxicity,
         "op9_fingerprints": op9_fingerprints,
         "op10_near_dedup": op10_near_dedup,
     }

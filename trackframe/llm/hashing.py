@@ -10,6 +10,8 @@ _rng = np.random.default_rng(20_240_601)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=U64)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII characters that are neither letters nor digits.
+NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,12 +42,13 @@ def word_hashes(text: str | None) -> np.ndarray:
     return word_and_prefix_hashes(text)[0]
 
 
-def word_and_prefix_hashes(text: str | None, prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words and of their first `prefix` bytes: polynomial hashes from one prefix sum over the bytes."""
+def word_and_prefix_hashes(text: str | None, prefix: int = 0, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, between the bytes marked in `breaks`, and of their first `prefix` bytes: polynomial hashes from
+    one prefix sum over the bytes."""
     data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), dtype=np.uint8)
     if not len(data):
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=U64)
-    inside = np.concatenate(([False], ~_IS_SPACE[data], [False]))
+    inside = np.concatenate(([False], ~breaks[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     up, down = _Powers.of(len(data))

@@ -25,13 +25,18 @@ from pyspark.sql import functions as F
 
 from ..runtime import map_arrow
 from .common import stage
-from .hashing import U64, word_and_prefix_hashes
+from .hashing import NOT_WORD, U64, word_and_prefix_hashes
 
 SAMPLES = 8192
 PREFIX, PASSAGE, DISCOUNT, RIDGE = 5, 8, 0.95, 1.0
 FEATURES = 5
 
 
+def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words, free of punctuation, and of their expressions."""
+    return word_and_prefix_hashes((text or "").lower(), PREFIX, NOT_WORD)
+
+
 class Model:
     """Log-likelihood differences by word and by expression, the backoff's share, and the regression."""
 
@@ -41,7 +46,7 @@ class Model:
 
     def gains(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The words' hashes and how much likelier (log) each is in toxic text."""
-        words, parts = word_and_prefix_hashes(text, PREFIX)
+        words, parts = tokens(text)
         if not len(words) or not len(self.words) or not len(self.parts):
             return words, np.zeros(len(words))
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
@@ -108,7 +113,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words and expressions of each text: level (0 word, 1 expression), hash, part, toxic."""
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            words, parts = word_and_prefix_hashes(text.as_py(), PREFIX)
+            words, parts = tokens(text.as_py())
             once = np.unique(words, return_index=True)[1]
             only = np.unique(parts)
             n, m = len(once), len(only)

@@ -39,12 +39,17 @@ class _Powers:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words in order, A to Z lower-cased."""
-    return word_and_prefix_hashes(text)[0]
+    return word_and_part_hashes(text)[0]
 
 
-def word_and_prefix_hashes(text: str | None, prefix: int = 0, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words, between the bytes marked in `breaks`, and of their first `prefix` bytes: polynomial hashes from
-    one prefix sum over the bytes."""
+def word_and_prefix_hashes(text: str | None, prefix: int, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and of their first `prefix` bytes."""
+    return word_and_part_hashes(text, prefix, True, breaks)
+
+
+def word_and_part_hashes(text: str | None, size: int = 0, first: bool = True, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, between the bytes marked in `breaks`, and of their first (or last) `size` bytes: polynomial hashes
+    from one prefix sum over the bytes."""
     data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), dtype=np.uint8)
     if not len(data):
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=U64)
@@ -54,7 +59,10 @@ def word_and_prefix_hashes(text: str | None, prefix: int = 0, breaks: np.ndarray
     up, down = _Powers.of(len(data))
     sums = np.concatenate((np.zeros(1, dtype=U64), np.cumsum(_BYTE[data] * up[: len(data)], dtype=U64)))
 
-    def hashed(stops: np.ndarray) -> np.ndarray:
-        return mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(U64))
+    def hashed(begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        return mix((sums[stops] - sums[begins]) * down[begins] + (stops - begins).astype(U64))
 
-    return hashed(ends), hashed(np.minimum(ends, starts + prefix)) if prefix else np.zeros(0, dtype=U64)
+    if not size:
+        return hashed(starts, ends), np.zeros(0, dtype=U64)
+    part = (starts, np.minimum(ends, starts + size)) if first else (np.maximum(starts, ends - size), ends)
+    return hashed(starts, ends), hashed(*part)

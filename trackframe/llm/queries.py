@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, lang_id, lm_score, mixing, near_dedup, packing, sharding, toxicity
+from . import exact_dedup, fingerprints, lang_id, line_dedup, lm_score, mixing, near_dedup, packing, sharding, toxicity
 from .common import id_remainder, read_documents
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, model, keep=("doc_id", "held_out"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read_documents(spark, sf_dir))
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir).withColumn("held_out", id_remainder(F.col("doc_id"), 5) == 1)
     model = lm_score.fit(docs.where(~F.col("held_out")))
@@ -54,6 +58,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
+        "op2_line_dedup": op2_line_dedup,
         "op3_lm_score": op3_lm_score,
         "op4_mixing": op4_mixing,
         "op5_exact_dedup": op5_exact_dedup,
@@ -67,6 +72,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_line_dedup": line_dedup.ORACLE_SQL,
         "op4_mixing": mixing.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
         "op10_near_dedup": near_dedup.ORACLE_SQL,

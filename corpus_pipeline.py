@@ -1,21 +1,51 @@
-"""Corpus preparation: language ID, exact and near deduplication, mixing, packing."""
+"""Corpus preparation: language ID, exact and near deduplication, mixing to target weights, packing.
+
+Each stage takes all that the stage before kept, is written as Parquet in the shared folder and read again. All but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackframe.llm import exact_dedup, lang_id, mixing, near_dedup, packing
 from trackframe.llm.common import read_documents, stage
-from trackframe.llm.exact_dedup import drop_exact_duplicates
 
 
-def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_exact_duplicates(docs)
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not rejected; the model learns from the labelled rows of its own input."""
+    return lang_id.accepted(docs, lang_id.fit(docs))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest id."""
+    return exact_dedup.drop_exact_duplicates(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: five-word shingles, similarity of 0.8 or more."""
+    return near_dedup.drop_near_duplicates(docs, k=5, num=80, den=100)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources by weight, a document as often as it is taken."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences and places."""
+    return packing.pack(docs)
 
 
 STAGES = [
-    ("exact_dedup", exact_dedup_stage),
+    ("language_id", language_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
+#: Compression, MinHash and tokenisation have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -1 +1 @@
-
+"""Tables, project files and directory listings as DataFrames."""

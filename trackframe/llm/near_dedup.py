@@ -2,8 +2,9 @@
 
 A document is its set of distinct word shingles. MinHash samples of the set serve twice: bands of samples name the buckets in
 which candidates meet, and all samples are folded into an odd sketch, a bitmap in which each sample flips one bit. The
-population count of two sketches' XOR estimates a high similarity precisely, so almost only true links reach the last step,
-which compares the full sets.
+population count of two sketches' XOR estimates a high similarity precisely. A second bitmap folds the full set in the same way: its XOR
+never counts more than the sets differ by, so it drops pairs that cannot be linked and no others. Almost only true links reach
+the last step, which compares the full sets.
 
 No group is compared pair by pair or gathered in one task:
 
@@ -31,8 +32,8 @@ from ..runtime import map_arrow
 from .common import stage
 from .hashing import U64, mix, word_hashes
 
-SAMPLES, BANDS, MISS = 256, 48, 1e-5
-SKETCH_BITS = 1024
+SAMPLES, BANDS, MISS = 512, 48, 1e-5
+SKETCH_BITS, SET_BITS = 1024, 2048
 BLOCK, CHUNK = 1024, 256
 
 _rng = np.random.default_rng(20_240_602)
@@ -58,8 +59,8 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
 def minhash(shingles: np.ndarray) -> np.ndarray:
     x = (shingles >> U64(32)).astype(np.uint32)
     best = np.full(SAMPLES, 2**32 - 1, dtype=np.uint32)
-    for at in range(0, len(x), 1024):
-        part = x[None, at : at + 1024] * _A
+    for at in range(0, len(x), 512):
+        part = x[None, at : at + 512] * _A
         part += _B
         np.minimum(best, part.min(axis=1), out=best)
     return best
@@ -88,20 +89,27 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
+def set_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the full set; two of them differ in as many bits as the sets in elements, or fewer."""
+    bits = (shingles % U64(SET_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=SET_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def most_differing_bits(threshold: float) -> int:
-    """The XOR count up to which a pair may reach the threshold: 4.5 deviations of the samples below it, and 3 of the fold."""
-    low = threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / SAMPLES)
+    """The XOR count up to which a pair may reach the threshold: 4 deviations of the samples below it, and 3 of the fold."""
+    low = threshold - 4 * math.sqrt(threshold * (1 - threshold) / SAMPLES)
     flips = 2 * SAMPLES * (1 - low)
     return math.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** flips) + 3 * 2 * math.sqrt(flips**2 / (2 * SKETCH_BITS)))
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (128 bits that name the set), keys, sketch; of an empty set the last two are null."""
+    """doc_id, n_shingles, set_a, set_b (128 bits that name the set), keys, sketch, bitmap; of an empty set the last three are
+    null."""
     index = band_index(rows_per_band(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, a, b, keys, sketches = [], [], [], [], []
+            sizes, a, b, keys, sketches, bitmaps = [], [], [], [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), k)
                 sizes.append(len(s))
@@ -110,13 +118,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: f
                 samples = minhash(s) if len(s) else None
                 keys.append(band_keys(samples, index) if len(s) else None)
                 sketches.append(odd_sketch(samples) if len(s) else None)
+                bitmaps.append(set_sketch(s) if len(s) else None)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, longs), pa.array(sketches, longs)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "keys", "sketch"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, longs), pa.array(sketches, longs), pa.array(bitmaps, longs)],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "keys", "sketch", "bitmap"],
             )
 
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, sketch array<long>"
+    schema = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, sketch array<long>, bitmap array<long>"
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
@@ -128,6 +137,11 @@ def sizes_allow(n: Column, m: Column, num: int, den: int) -> Column:
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
+def bitmaps_allow(differing: Column, n: Column, m: Column, num: int, den: int) -> Column:
+    """Linked sets of n and m elements differ by at most (n + m) * (den - num) / (den + num)."""
+    return differing * (den + num) <= (n + m) * (den - num)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar. Texts travel to the pair's first document, whose set is kept while its
     partners stream by; partners of one document are split into chunks of about CHUNK."""
@@ -181,18 +195,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def cross_component_pairs(members: DataFrame, most_bits: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and pass the sketch. members: key, node, label, n, sketch."""
+    """Pairs (a, b) of different components that share a bucket and pass the sketch. members: key, node, label, n,
+    sketch, bitmap."""
     counts = members.groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     rows = members.join(counts.select("key", F.ceil(F.col("rows") / F.lit(BLOCK)).alias("blocks")), "key")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "sketch")
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "sketch", "bitmap")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def pairs_of(group: list[tuple]) -> tuple[list[int], list[int]]:
         _, i, j = group[0][:3]
         block, node, label, n = (np.array([g[c] for g in group], dtype=np.int64) for c in (3, 4, 5, 6))
-        sketch = np.array([g[7] for g in group], dtype=np.int64).view(U64)
+        sketch, bitmap = (np.array([g[c] for g in group], dtype=np.int64).view(U64) for c in (7, 8))
         a, b = [], []
         for r in range(len(group) - 1):
             fits = (label[r + 1 :] != label[r]) & (np.minimum(n[r], n[r + 1 :]) * den >= np.maximum(n[r], n[r + 1 :]) * num)
@@ -200,6 +215,7 @@ def cross_component_pairs(members: DataFrame, most_bits: int, num: int, den: int
                 fits &= block[r + 1 :] != block[r]
             at = np.flatnonzero(fits) + r + 1
             at = at[np.bitwise_count(sketch[at] ^ sketch[r]).sum(axis=1) <= most_bits]
+            at = at[np.bitwise_count(bitmap[at] ^ bitmap[r]).sum(axis=1, dtype=np.int64) * (den + num) <= (n[at] + n[r]) * (den - num)]
             a += np.minimum(node[at], node[r]).tolist()
             b += np.maximum(node[at], node[r]).tolist()
         return a, b
@@ -232,7 +248,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold, bits = num / den, most_differing_bits(num / den)
     sigs = stage(signatures(docs, id_col, text_col, k, threshold), "signatures")
     sets = ["set_a", "set_b", "n_shingles"]
-    classes = sigs.where("n_shingles > 0").groupBy(*sets).agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    classes = sigs.where("n_shingles > 0").groupBy(*sets).agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.first("bitmap").alias("bitmap"))
     # a class of null ids only is named by its set, below all ids in use
     classes = classes.withColumn("node", F.coalesce("least_id", F.col("set_a").bitwiseOR(F.lit(-(2**63)))))
     classes = stage(classes, "set-classes")
@@ -240,11 +256,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bands = classes.select("node", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("rows")).where("rows > 1").select("key", "center")
     members = stage(bands.join(shared, "key"), "bucket-members")
-    about = classes.select("node", F.col("n_shingles").alias("n"), "sketch")
+    about = classes.select("node", F.col("n_shingles").alias("n"), "sketch", "bitmap")
 
     stars = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    left, right = (about.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    left, right = (about.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("bitmap").alias(f"b{x}")) for x in "ab")
     stars = stars.join(left, "a").join(right, "b").where(sizes_allow(F.col("na"), F.col("nb"), num, den) & (differing_bits(F.col("sa"), F.col("sb")) <= bits))
+    stars = stars.where(bitmaps_allow(differing_bits(F.col("ba"), F.col("bb")), F.col("na"), F.col("nb"), num, den))
     stars = stage(stars.select("a", "b"), "star-pairs")
 
     in_buckets = members.select("node").distinct()
@@ -259,7 +276,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = stage(components(links), "star-labels")
     labelled = members.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    waiting = labelled.join(open_keys, "key", "left_semi").join(about, "node").select("key", "node", "label", "n", "sketch")
+    waiting = labelled.join(open_keys, "key", "left_semi").join(about, "node").select("key", "node", "label", "n", "sketch", "bitmap")
     more = cross_component_pairs(waiting, bits, num, den).join(stars, ["a", "b"], "left_anti")
     more = stage(confirmed(stage(more, "block-pairs"), texts, k, num, den), "block-links")
     if more.limit(1).count():

@@ -40,19 +40,19 @@ SLICE = 4096
 _LN10 = math.log(10)
 
 
-def _hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(text: str | None, tails: int) -> tuple[np.ndarray, np.ndarray]:
     words, suffixes = word_and_part_hashes(text, SUFFIX, False)
-    return words, (suffixes % U64(SHAPE.tails)).astype(np.int32)
+    return words, (suffixes % U64(tails)).astype(np.int32)
 
 
-def counted_words(docs: DataFrame, text_col: str) -> DataFrame:
+def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
     """(hash, tail, n) of every word of `docs`; rows with a null hash hold the numbers of documents instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [_hashes(t.as_py()) for t in batch.column(0)]
+            found = [_hashes(t.as_py(), buckets) for t in batch.column(0)]
             words, tails = (np.concatenate(c) for c in zip(*found, strict=True))
             names, first, n = np.unique(words, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -71,7 +71,8 @@ class Model:
     """names, counts, heads: the common words' hashes (sorted), counts and head ids (0: none). tails: log10 of the buckets'
     smoothed shares. tokens and types: N and V of the training tokens, the end token among them; ends: its count."""
 
-    def __init__(self, names, counts, heads, tails, tokens, types, ends, weights):
+    def __init__(self, shape, names, counts, heads, tails, tokens, types, ends, weights):
+        self.shape = shape
         self.names, self.counts, self.heads, self.tails = names, counts, heads, tails
         self.tokens, self.types, self.ends, self.weights = tokens, types, ends, weights
 
@@ -80,13 +81,13 @@ class Model:
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids with the end token, and for each word its hash, whether it is common, and its count if so."""
-        words, tails = _hashes(text)
+        words, tails = _hashes(text, self.shape.tails)
         known, counts, heads = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int32)
         if len(self.names) and len(words):
             at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
             known = self.names[at] == words
             counts, heads = np.where(known, self.counts[at], 0), np.where(known, self.heads[at], 0)
-        ids = np.append(np.where(heads > 0, heads, SHAPE.head + tails), END).astype(np.int32)
+        ids = np.append(np.where(heads > 0, heads, self.shape.head + tails), END).astype(np.int32)
         return ids, words, known, counts
 
 
@@ -102,35 +103,35 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Model:
+def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_common: float = COMMON, replica_tokens: int = REPLICA_TOKENS) -> Model:
     """Learns from all rows of `docs`; null texts are empty documents."""
     spark = docs.sparkSession
-    counts = stage(counted_words(docs, text_col), "word-counts")
+    counts = stage(counted_words(docs, text_col, shape.tails), "word-counts")
     ends = int(counts.where("hash is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     words = counts.where("hash is not null")
     types, tokens = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     types, tokens = types + (ends > 0), tokens + ends
-    common = words.where(F.col("n") >= max(1.0, COMMON * tokens)).toArrow()
+    common = words.where(F.col("n") >= max(1.0, share_of_common * tokens)).toArrow()
     names, n, tail = common["hash"].to_numpy().view(U64), common["n"].to_numpy(), common["tail"].to_numpy()
     order = np.argsort(names)
     names, n, tail = names[order], n[order], tail[order]
-    head = np.lexsort((names, -n))[: SHAPE.head - 1]
+    head = np.lexsort((names, -n))[: shape.head - 1]
     heads = np.zeros(len(names), dtype=np.int32)
     heads[head] = np.arange(1, len(head) + 1)
 
-    by_tail = np.full(SHAPE.tails, 0.5)
+    by_tail = np.full(shape.tails, 0.5)
     for r in words.groupBy("tail").agg(F.sum(F.col("n") + 0.5).alias("n")).collect():
         by_tail[r["tail"]] += r["n"]
     np.subtract.at(by_tail, tail[head], n[head] + 0.5)
     total = tokens + 0.5 * (types + 1)
-    unigram = np.concatenate(([ends], n[head], np.zeros(SHAPE.head - 1 - len(head)), by_tail))
-    weights = initial(SHAPE, unigram)
-    model = Model(names, n, heads, np.log10(by_tail / total), int(tokens), int(types), ends, weights)
+    unigram = np.concatenate(([ends], n[head], np.zeros(shape.head - 1 - len(head)), by_tail))
+    weights = initial(shape, unigram)
+    model = Model(shape, names, n, heads, np.log10(by_tail / total), int(tokens), int(types), ends, weights)
 
     share = min(1.0, max(SHARE, LEAST_TOKENS / max(tokens, 1)))
     drawn = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"), F.col(text_col).alias("text"))
     drawn = drawn.where(F.pmod("hash", F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["hash"])
-    replicas = max(1, round(share * tokens / REPLICA_TOKENS))
+    replicas = max(1, round(share * tokens / replica_tokens))
     drawn = stage(drawn.withColumn("replica", F.pmod(F.xxhash64("hash"), F.lit(replicas)).cast("int")), "training-texts")
     for k in range(ROUNDS):
         shipped = spark.sparkContext.broadcast(model)
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
                 start = shipped.value.weights
                 p = {name: value.copy() for name, value in start.items()}
                 memory = {name: np.full_like(value, 1e-3 if not k else 1.0) for name, value in start.items()}
-                train(SHAPE, p, memory, [shipped.value.encode(t)[0] for t in texts], END, RATE, seed=own * 31 + k)
+                train(shape, p, memory, [shipped.value.encode(t)[0] for t in texts], END, RATE, seed=own * 31 + k)
                 flat = _pack(p)
                 slices = [flat[i : i + SLICE].astype(float).tolist() for i in range(0, len(flat), SLICE)]
                 return pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array(slices, pa.list_(pa.float64()))], names=["slice", "v"])
@@ -165,7 +166,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
             flat[parts["slice"].to_numpy().astype(np.int64) * SLICE + parts["i"].to_numpy()] = parts["v"].to_numpy()
             model.weights = _unpack(flat, weights)
         shipped.unpersist()
-    model.rare = words.where(F.col("n") < max(1.0, COMMON * tokens)).select("hash", "n")
+    model.rare = words.where(F.col("n") < max(1.0, share_of_common * tokens)).select("hash", "n")
     return model
 
 
@@ -189,8 +190,8 @@ def lm_score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[
                 ids, words, known, counts = m.encode(text.as_py())
                 documents.append(ids)
                 shares = m.log_share(counts)
-                inside = ids[:-1] >= SHAPE.head
-                tails = np.bincount(ids[:-1][inside] - SHAPE.head, minlength=SHAPE.tails)
+                inside = ids[:-1] >= m.shape.head
+                tails = np.bincount(ids[:-1][inside] - m.shape.head, minlength=m.shape.tails)
                 rare_words, n = np.unique(words[~known], return_counts=True)
                 values = (
                     len(ids), int(known.sum()) + (m.ends > 0), float(shares[known].sum() + m.log_share(np.array([m.ends]))[0]),
@@ -198,7 +199,7 @@ def lm_score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[
                 )
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            found = score(SHAPE, m.weights, documents, END) / _LN10
+            found = score(m.shape, m.weights, documents, END) / _LN10
             longs = pa.list_(pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), longs, longs), strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -66,7 +66,7 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     sizes = [int(r["size"]) for r in by_source]
     targets = share_out(sizes, [weights[i % len(weights)] for i in range(len(sizes))], most)
     plan = spark.createDataFrame(
-        [(i, r["source"], s, t, (t / s if s else 0.0), offset_of(r["source"], seed)) for i, (r, s, t) in enumerate(zip(by_source, sizes, targets, strict=True))],
+        [(i, r["source"], s, float(t), (float(t) / s if s else 0.0), offset_of(r["source"], seed)) for i, (r, s, t) in enumerate(zip(by_source, sizes, targets, strict=True))],
         "sid int, source string, source_size long, target double, rate double, start double",
     )
     same = rows["source"].eqNullSafe(plan["source"])

@@ -143,7 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not all(sizes):
         return constant(float(sizes[1] > 0))
     picked = docs.sparkSession.createDataFrame([d[:2] for d in drawn], "id long, toxic int")
-    sample = docs.join(F.broadcast(picked), docs[id_col] == picked["id"]).select("id", "toxic", F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("text"))
+    sample = own.join(F.broadcast(picked), F.col("own_id") == F.col("id")).select("id", "toxic", "text")
     sample = stage(sample.withColumn("use", F.pmod(F.xxhash64("text"), F.lit(4))), "toxicity-sample")
 
     seen = sample.where("use <> 0").groupBy("toxic", F.xxhash64("text").alias("copy")).agg(F.min("id").alias("id"))

@@ -28,7 +28,7 @@ _BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """(id, th, start, chars, lines, body) of every chunk of `docs` (id, th, text)."""
+    """(id, th, start, bytes, lines, body) of every chunk of `docs` (id, th, text); places count bytes."""
     raw = docs.select("id", "th", F.filter(F.split("text", r"(?<=\n)"), lambda s: s != "").alias("raw"))
     wrapped = raw.select("id", "th", F.transform("raw", lambda s: F.filter(F.split(s, r"(?<=[.!?] )"), lambda u: u != "")).alias("wrapped"))
     wrapped = computed_once(wrapped)
@@ -65,11 +65,16 @@ def _chunks(docs: DataFrame) -> DataFrame:
     parts = computed_once(parts)
     sums = F.aggregate(
         "body", F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("end")),
-        lambda acc, b: F.struct(F.concat(acc["at"], F.array(acc["end"])).alias("at"), (acc["end"] + F.length(b)).alias("end")),
+        lambda acc, b: F.struct(F.concat(acc["at"], F.array(acc["end"])).alias("at"), (acc["end"] + F.octet_length(b)).alias("end")),
     )
     placed = parts.select("id", "th", F.arrays_zip("n", "body", sums["at"].alias("at")).alias("chunk"))
     each = placed.select("id", "th", F.explode("chunk").alias("c"))
-    return each.select("id", "th", F.col("c.at").alias("start"), F.length("c.body").alias("chars"), F.col("c.n").alias("lines"), F.rtrim(F.col("c.body"), F.lit(_BLANKS)).alias("body"))
+    return each.select("id", "th", F.col("c.at").alias("start"), F.octet_length("c.body").alias("bytes"), F.col("c.n").alias("lines"), F.rtrim(F.col("c.body"), F.lit(_BLANKS)).alias("body"))
+
+
+def _part(start: Column, length: Column) -> Column:
+    """Part of `text` by bytes, which unlike characters need no walk from its begin."""
+    return F.substring(F.col("text").cast("binary"), start + 1, length).cast("string")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -82,18 +87,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = keyed.withColumn("th", F.xxhash64("text"))
     body = F.col("body")
     chunks = _chunks(keyed.where("text is not null").select("id", "th", "text"))
-    chunks = stage(chunks.select("id", "th", "start", "chars", "lines", F.xxhash64(body).alias("hash"), F.xxhash64(F.concat(body, F.lit("#"))).alias("tag")), "chunks")
+    chunks = stage(chunks.select("id", "th", "start", "bytes", "lines", F.xxhash64(body).alias("hash"), F.xxhash64(F.concat(body, F.lit("#"))).alias("tag")), "chunks")
     sizes = chunks.groupBy("id", "th").agg(F.count("*").alias("n_chunks"))
 
     many = chunks.where(F.col("lines") >= LEAST_LINES)
     repeated = many.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     found = stage(many.join(repeated, "hash", "left_semi"), "candidates")
-    spans = found.groupBy("id", "th").agg(F.collect_set(F.struct("start", "chars", "hash", "tag")).alias("spans"))
+    spans = found.groupBy("id", "th").agg(F.collect_set(F.struct("start", "bytes", "hash", "tag")).alias("spans"))
 
     texts = keyed.where("text is not null").select("id", "th", "text").join(spans, ["id", "th"])
     bodies = texts.select("id", "th", F.explode(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["hash"].alias("hash"), s["tag"].alias("tag"),
-        F.rtrim(F.substring(F.col("text"), s["start"] + 1, s["chars"]), F.lit(_BLANKS)).alias("body"),
+        F.rtrim(_part(s["start"], s["bytes"]), F.lit(_BLANKS)).alias("body"),
     ))).alias("c"))
     bodies = bodies.select("id", "th", F.col("c.start").alias("start"), F.col("c.hash").alias("hash"), F.col("c.tag").alias("tag"), F.col("c.body").alias("body"))
     first = bodies.groupBy("hash", "tag", "body").agg(F.min(F.struct("id", "th", "start")).alias("first"))
@@ -101,18 +106,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     alone = F.when(F.col("bodies") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("two chunks share both hashes")).cast("boolean"))
     first = stage(first.where(alone).select("hash", "tag", "first"), "first-chunks")
     later = found.join(first, ["hash", "tag"]).where(F.struct("id", "th", "start") != F.col("first"))
-    removed = later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "chars"))).alias("gone"))
+    removed = later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "bytes"))).alias("gone"))
 
     plan = stage(sizes.join(removed, ["id", "th"], "left"), "removal-plan")
     rows = keyed.join(plan, ["id", "th"], "left")
     n = F.size("gone")
     until = F.transform("gone", lambda g, i: F.struct(
-        F.when(i == 0, F.lit(0)).otherwise(F.get("gone", i - 1)["start"] + F.get("gone", i - 1)["chars"]).alias("at"), g["start"].alias("end")
+        F.when(i == 0, F.lit(0)).otherwise(F.get("gone", i - 1)["start"] + F.get("gone", i - 1)["bytes"]).alias("at"), g["start"].alias("end")
     ))
-    tail = F.get("gone", n - 1)["start"] + F.get("gone", n - 1)["chars"]
+    tail = F.get("gone", n - 1)["start"] + F.get("gone", n - 1)["bytes"]
     kept = F.concat(
-        F.array_join(F.transform(until, lambda s: F.substring(F.col("text"), s["at"] + 1, s["end"] - s["at"])), ""),
-        F.substring(F.col("text"), tail + 1, F.length("text")),
+        F.array_join(F.transform(until, lambda s: _part(s["at"], s["end"] - s["at"])), ""),
+        _part(tail, F.octet_length("text")),
     )
     return rows.select(
         "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),

@@ -28,60 +28,49 @@ def pieces(stem: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(stem, r"(?<=\d)T(?=\d)", "_"), "[^A-Za-z0-9]+"), lambda p: p != "")
 
 
-def compact_date(piece: Column) -> Column:
-    """YYYYMMDD with any digits behind it, or eight digits MMDDYYYY or DDMMYYYY."""
-    return _whole(piece, rf"{YEAR}{MONTH}{DAY}\d*", rf"{MONTH}{DAY}{YEAR}", rf"{DAY}{MONTH}{YEAR}")
+def kind(piece: Column) -> Column:
+    """What a piece can be: struct of booleans year, month, day, loose_day, name, short_year, alone. `alone` is a date by itself:
+    YYYYMMDD with any digits behind it, eight digits MMDDYYYY or DDMMYYYY, or a fused one like 15Jan2024, Jan2024, 2024Jan15."""
+    alone = (
+        rf"{YEAR}{MONTH}{DAY}\d*", rf"{MONTH}{DAY}{YEAR}", rf"{DAY}{MONTH}{YEAR}",
+        rf"{LOOSE_DAY}{MONTH_NAME}{YEAR}", rf"{MONTH_NAME}{LOOSE_DAY}?{YEAR}", rf"{YEAR}{MONTH_NAME}{LOOSE_DAY}?",
+    )
+    shapes = {"year": (YEAR,), "month": (MONTH,), "day": (DAY,), "loose_day": (LOOSE_DAY,), "name": (MONTH_NAME,), "short_year": (r"\d\d",), "alone": alone}
+    return F.struct(*(_whole(piece, *shape).alias(name) for name, shape in shapes.items()))
 
 
-def fused_named_date(piece: Column) -> Column:
-    """15Jan2024, Jan2024, 2024Jan15 and the like."""
-    return _whole(piece, rf"{LOOSE_DAY}{MONTH_NAME}{YEAR}", rf"{MONTH_NAME}{LOOSE_DAY}?{YEAR}", rf"{YEAR}{MONTH_NAME}{LOOSE_DAY}?")
-
-
-def month_day_pair(a: Column, b: Column) -> Column:
-    return (_whole(a, MONTH) & _whole(b, DAY)) | (_whole(a, DAY) & _whole(b, MONTH))
+def _pair(a: Column, b: Column, x: str, y: str) -> Column:
+    return (a[x] & b[y]) | (a[y] & b[x])
 
 
 def numeric_triple(a: Column, b: Column, c: Column) -> Column:
-    return (_whole(a, YEAR) & month_day_pair(b, c)) | (_whole(c, YEAR) & month_day_pair(a, b))
+    """A year first or last, beside a month and a day in either order."""
+    return (a["year"] & _pair(b, c, "month", "day")) | (c["year"] & _pair(a, b, "month", "day"))
 
 
 def named_triple(a: Column, b: Column, c: Column) -> Column:
     """One month name among two numbers, of which one can be the day and the other a year of four or two digits."""
-    trio = (a, b, c)
-    name = [_whole(p, MONTH_NAME) for p in trio]
-    day = [_whole(p, LOOSE_DAY) for p in trio]
-    year = [_whole(p, YEAR, r"\d\d") for p in trio]
-    found = F.lit(False)
-    for k in range(3):
-        i, j = (x for x in range(3) if x != k)
-        found = found | (name[k] & ~name[i] & ~name[j] & ((day[i] & year[j]) | (day[j] & year[i])))
-    return found
-
+    def rest(x: Column, y: Column) -> Column:
+        return (x["loose_day"] & (y["year"] | y["short_year"])) | (y["loose_day"] & (x["year"] | x["short_year"]))
 
-def named_pair(a: Column, b: Column) -> Column:
-    return (_whole(a, MONTH_NAME) & _whole(b, YEAR)) | (_whole(a, YEAR) & _whole(b, MONTH_NAME))
+    return (a["name"] & rest(b, c)) | (b["name"] & rest(a, c)) | (c["name"] & rest(a, b))
 
 
-def date_span(parts: Column) -> Column:
-    """struct(first, length) of the date among the pieces (from 0), or null."""
-    at = lambda i: F.get(parts, i)
+def date_span(kinds: Column) -> Column:
+    """struct(first, length) of the date among pieces of these kinds (from 0), or null: the leftmost, and there the longest."""
+    at = lambda i: F.get(kinds, i)
 
-    def length(i: Column) -> Column:
-        a, b, c = at(i), at(i + 1), at(i + 2)
-        return (
-            F.when(numeric_triple(a, b, c) | named_triple(a, b, c), F.lit(3)).when(named_pair(a, b), F.lit(2)).when(compact_date(a) | fused_named_date(a), F.lit(1))
-        )
+    def length(a: Column, i: Column) -> Column:
+        b, c = at(i + 1), at(i + 2)
+        return F.when(numeric_triple(a, b, c) | named_triple(a, b, c), F.lit(3)).when(_pair(a, b, "name", "year"), F.lit(2)).when(a["alone"], F.lit(1))
 
-    spans = F.transform(parts, lambda p, i: F.struct(i.alias("first"), length(i).alias("length")))
+    spans = F.transform(kinds, lambda k, i: F.struct(i.alias("first"), length(k, i).alias("length")))
     return F.get(F.filter(spans, lambda s: s["length"].isNotNull()), F.lit(0))
 
 
-def group_key(stem: Column) -> Column:
+def group_key_of(parts: Column, span: Column) -> Column:
     """The pieces before the date, joined by '_'; if there are none, those behind it without leading all-digit ones. Null
     without a date or without such pieces."""
-    parts = pieces(stem)
-    span = date_span(parts)
     n = F.size(parts)
     before = F.slice(parts, F.lit(1), F.coalesce(span["first"], F.lit(0)))
     rest = F.slice(parts, F.coalesce(span["first"] + span["length"], F.lit(0)) + 1, n)
@@ -89,3 +78,9 @@ def group_key(stem: Column) -> Column:
     after = F.when(first_word.isNotNull(), F.slice(rest, first_word + 1, n))
     key = F.when(F.size(before) > 0, F.array_join(before, "_")).otherwise(F.array_join(after, "_"))
     return F.when(span.isNotNull() & (key != ""), key)
+
+
+def group_key(stem: Column) -> Column:
+    """group_key_of one expression; over many rows compute pieces, kinds and span once instead, as operators/naming.py does."""
+    parts = pieces(stem)
+    return group_key_of(parts, date_span(F.transform(parts, kind)))

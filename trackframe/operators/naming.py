@@ -8,14 +8,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import group_key
+from ..functions.dates import date_span, group_key_of, kind, pieces
 from ..functions.paths import stem
+from ..runtime import computed_once
 
 
 def inferred_groups(videos: DataFrame) -> DataFrame:
     """(ord, path, stem, group): the key beside the date in the name, the stem where there is none."""
     named = videos.select("ord", "path", stem(F.col("path")).alias("stem"))
-    return named.withColumn("group", F.coalesce(group_key(F.col("stem")), F.col("stem")))
+    parted = computed_once(named.withColumn("parts", pieces(F.col("stem"))))
+    sorted_out = computed_once(parted.withColumn("kinds", F.transform("parts", kind)))
+    spanned = computed_once(sorted_out.withColumn("span", date_span(F.col("kinds"))).drop("kinds"))
+    return spanned.select("ord", "path", "stem", F.coalesce(group_key_of(F.col("parts"), F.col("span")), F.col("stem")).alias("group"))
 
 
 def pattern_groups(videos: DataFrame, pattern: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""What Python code on executors needs: the package itself, which a cluster's executors don't have installed."""
+"""What Python code on executors needs (the package itself, which a cluster's executors don't have installed), and a barrier for plans."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: dict[str, str] = {}
 
@@ -33,3 +34,9 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """`df.mapInArrow`, with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """`df` with its columns computed here: Catalyst would otherwise copy their expressions into every use in the projections
+    above, and into the bodies of higher-order functions, where they run again for each element."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")

@@ -65,7 +65,7 @@ def equal_classes(
         F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count("*").alias("contents")
     )
     alone = F.when(F.col("contents") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("two contents share digest and tag")).cast("boolean"))
-    return members, classes.where(alone).drop("contents")
+    return members, stage(classes.where(alone).drop("contents"), "classes")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -56,9 +56,3 @@ def word_count(text: Column) -> Column:
     """Number of words of a text (null: 0)."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_BREAK))).cast("long")
-
-
-def computed_once(df: DataFrame) -> DataFrame:
-    """`df` with its columns computed here: Catalyst would otherwise copy their expressions into every use in the projections
-    above, and into the bodies of higher-order functions, where they run again for each element."""
-    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from trackframe.llm import lang_id, lm_score, recurrent, toxicity
 from trackframe.llm.hashing import word_hashes
@@ -127,6 +128,14 @@ def test_lm_probabilities_sum_to_one(spark):
     assert math.isclose(total + unused, 1.0, rel_tol=1e-4)
 
 
+def test_lm_trains_on_every_document(spark):
+    """More tokens than a sample would hold, and copies, in every round."""
+    long = spark.range(80).select(F.concat(F.repeat(F.lit("one two of "), 7000), F.col("id") % 70).alias("text"))
+    docs = long.union(documents(spark, [(1, "the end"), (2, "the end"), (3, None)]).select("text"))
+    model = lm_score.fit(docs, shape=SMALL["shape"], replica_tokens=200_000)
+    assert model.tokens == 80 * 21_002 + 7 and model.trained == [model.tokens] * lm_score.ROUNDS
+
+
 def test_lm_of_awkward_rows(spark):
     docs = clashing(spark)
     model = lm_score.fit(docs, **SMALL)

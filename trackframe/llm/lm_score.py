@@ -7,9 +7,9 @@ its last two bytes. The model gives head words and buckets a probability after e
 word's share of its bucket is its smoothed count over that of all words of the bucket, with one place in each for words never
 seen. So the model's probabilities of all words sum to at most one, unseen words included.
 
-Training: documents drawn by a hash, `SHARE` of the training tokens but `LEAST_TOKENS` at least, are dealt to replicas of about
-`REPLICA_TOKENS`. In each of `ROUNDS` rounds every replica runs one pass of truncated backpropagation from the same weights,
-and the weights are averaged by Spark, so the driver holds one copy whatever the number of replicas.
+Training: all training documents, repeated ones as often as they occur, are dealt to replicas of about `REPLICA_TOKENS`. In each
+of `ROUNDS` rounds every replica runs one pass of truncated backpropagation from the same weights, and the weights are averaged
+by Spark, so the driver holds one copy whatever the number of replicas.
 
 Scoring: words with at least `COMMON` of all tokens (1 / COMMON words at most, which bounds what is broadcast) are looked up in
 place; the counts of rarer words are joined to the documents that hold them. Each document is scored from its first token to
@@ -32,7 +32,7 @@ from .hashing import U64, word_and_part_hashes
 from .recurrent import Shape, initial, score, train
 
 SHAPE = Shape(hidden=32, classes=32, width=64, tails=96)
-SHARE, LEAST_TOKENS, REPLICA_TOKENS, ROUNDS, RATE = 0.02, 1_500_000, 300_000, 3, 0.1
+REPLICA_TOKENS, ROUNDS, RATE = 300_000, 3, 0.1
 COMMON = 1e-6
 SUFFIX = 2
 END = 0  # the id of the end token, which also begins a document
@@ -69,12 +69,14 @@ def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
 class Model:
     """names, counts, heads: the common words' hashes (sorted), counts and head ids (0: none). tails: log10 of the buckets'
-    smoothed shares. tokens and types: N and V of the training tokens, the end token among them; ends: its count."""
+    smoothed shares. tokens and types: N and V of the training tokens, the end token among them; ends: its count. trained: how
+    many tokens the replicas went over in each round."""
 
     def __init__(self, shape, names, counts, heads, tails, tokens, types, ends, weights):
         self.shape = shape
         self.names, self.counts, self.heads, self.tails = names, counts, heads, tails
         self.tokens, self.types, self.ends, self.weights = tokens, types, ends, weights
+        self.trained: list[int] = []
 
     def log_share(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
@@ -128,43 +130,60 @@ def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_
     weights = initial(shape, unigram)
     model = Model(shape, names, n, heads, np.log10(by_tail / total), int(tokens), int(types), ends, weights)
 
-    share = min(1.0, max(SHARE, LEAST_TOKENS / max(tokens, 1)))
-    drawn = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"), F.col(text_col).alias("text"))
-    drawn = drawn.where(F.pmod("hash", F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["hash"])
-    replicas = max(1, round(share * tokens / replica_tokens))
-    drawn = stage(drawn.withColumn("replica", F.pmod(F.xxhash64("hash"), F.lit(replicas)).cast("int")), "training-texts")
+    shipped = spark.sparkContext.broadcast(model)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [shipped.value.encode(t.as_py())[0].tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["replica", "hash", "ids"])
+
+    # dealt by place as well as by text, so that the copies of a text don't meet in one replica; a replica is a run of one file
+    replicas = max(1, round(tokens / replica_tokens))
+    dealt = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"), F.monotonically_increasing_id().alias("place"), F.col(text_col).alias("text"))
+    dealt = dealt.select(F.pmod(F.xxhash64("hash", "place"), F.lit(replicas)).cast("int").alias("replica"), "hash", "text")
+    dealt = map_arrow(dealt, encoded, "replica int, hash long, ids binary")
+    dealt = stage(dealt.repartition(replicas, "replica").sortWithinPartitions("replica", "hash"), "training-documents")
+    shipped.unpersist()
     for k in range(ROUNDS):
-        shipped = spark.sparkContext.broadcast(model)
+        shipped = spark.sparkContext.broadcast(model.weights)
 
         def replica(batches: Iterator[pa.RecordBatch], shipped=shipped, k=k) -> Iterator[pa.RecordBatch]:
-            at, texts = None, []
+            start = shipped.value
+            at, documents, total, n, seen = None, [], 0.0, 0, 0
 
-            def trained(own: int, texts: list[str | None]) -> pa.RecordBatch:
-                start = shipped.value.weights
+            def trained(own: int, documents: list[np.ndarray]) -> np.ndarray:
                 p = {name: value.copy() for name, value in start.items()}
                 memory = {name: np.full_like(value, 1e-3 if not k else 1.0) for name, value in start.items()}
-                train(shape, p, memory, [shipped.value.encode(t)[0] for t in texts], END, RATE, seed=own * 31 + k)
-                flat = _pack(p)
-                slices = [flat[i : i + SLICE].astype(float).tolist() for i in range(0, len(flat), SLICE)]
-                return pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array(slices, pa.list_(pa.float64()))], names=["slice", "v"])
+                train(shape, p, memory, documents, END, RATE, seed=own * 31 + k)
+                return _pack(p).astype(float)
 
             for batch in batches:
-                for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for own, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     if at is not None and own != at:
-                        yield trained(at, texts)
-                        texts = []
+                        total, n = total + trained(at, documents), n + 1
+                        documents = []
                     at = own
-                    texts.append(text)
-            if texts:
-                yield trained(at, texts)
+                    documents.append(np.frombuffer(ids.as_py(), dtype=np.int32))
+                    seen += len(documents[-1])
+            if documents:
+                total, n = total + trained(at, documents), n + 1
+                slices = [total[i : i + SLICE].tolist() for i in range(0, len(total), SLICE)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(range(len(slices)), pa.int32()), pa.array(slices, pa.list_(pa.float64())), pa.array([n] * len(slices), pa.int64()),
+                        pa.array([seen] * len(slices), pa.int64()),
+                    ],
+                    names=["slice", "v", "n", "seen"],
+                )
 
-        dealt = drawn.select("replica", "text", "hash").repartition(replicas, "replica").sortWithinPartitions("replica", "hash")
-        parts = map_arrow(dealt, replica, "slice int, v array<double>")
-        parts = parts.select("slice", F.posexplode("v").alias("i", "v")).groupBy("slice", "i").agg(F.avg("v").alias("v")).toArrow()
+        parts = map_arrow(dealt.select("replica", "ids"), replica, "slice int, v array<double>, n long, seen long")
+        parts = parts.select("slice", "n", "seen", F.posexplode("v").alias("i", "v")).groupBy("slice", "i")
+        parts = parts.agg((F.sum("v") / F.sum("n")).alias("v"), F.sum("seen").alias("seen")).toArrow()
         if parts.num_rows:
             flat = np.zeros(sum(v.size for v in weights.values()))
             flat[parts["slice"].to_numpy().astype(np.int64) * SLICE + parts["i"].to_numpy()] = parts["v"].to_numpy()
             model.weights = _unpack(flat, weights)
+            model.trained.append(parts["seen"][0].as_py())
         shipped.unpersist()
     model.rare = words.where(F.col("n") < max(1.0, share_of_common * tokens)).select("hash", "n")
     return model

@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences and places."""
-    return packing.pack(docs)
+    """The pieces of all documents with their token ids, sequences and places."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [

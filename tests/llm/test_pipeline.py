@@ -27,6 +27,11 @@ def test_stages_follow_one_another(spark):
     assert docs.agg({"length": "sum"}).first()[0] > 0 and packing.CAPACITY == 1024
 
 
+def test_pipeline_ends_in_token_ids(spark):
+    rows = corpus_pipeline.packing_stage(spark, documents(spark, [(1, prose(1, 900)), (2, prose(2, 40)), (3, None)]), "").collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3} and all(len(r.ids) == r.length > 0 for r in rows)
+
+
 @pytest.mark.parametrize("make", [clashing, empty])
 def test_every_stage_handles_awkward_tables(spark, make):
     for name, step in corpus_pipeline.STAGES:

@@ -140,6 +140,13 @@ def test_selection(spark):
     assert frames(select.kmeans_representatives(features.where("frame < 3"), 4)) == [0, 1, 2]
 
 
+def test_kmeans_iterations_are_passes_over_all_rows():
+    data = np.concatenate((np.random.default_rng(1).normal(0, 0.1, 500), np.random.default_rng(2).normal(10, 0.1, 500)))[:, None]
+    for seed in range(10):  # centers that begin in one group part only if the rows of both are visited
+        labels = select.kmeans(data, 2, 1, 1, np.random.default_rng(seed))
+        assert len(set(labels[:500])) == len(set(labels[500:])) == 1 and labels[0] != labels[-1]
+
+
 # ---- label sets
 
 

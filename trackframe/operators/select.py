@@ -22,16 +22,23 @@ def uniform_selection(candidates: DataFrame, count: int) -> DataFrame:
     return ranked.where((F.col("n") <= count) | picked).select("video", "frame")
 
 
-def kmeans(features: np.ndarray, clusters: int, batch: int, iterations: int, rng: np.random.Generator) -> np.ndarray:
-    """Mini-batch k-means; the cluster of each row."""
+def kmeans(features: np.ndarray, clusters: int, batch: int, iterations: int, rng: np.random.Generator, tolerance: float = 1e-3) -> np.ndarray:
+    """Mini-batch k-means; the cluster of each row. An iteration is a pass over all rows in random order; they end early once a
+    pass moves the centers by no more than `tolerance` of the features' mean variance (squared distances, summed)."""
     centers = features[rng.choice(len(features), clusters, replace=False)].astype(float)
     seen = np.zeros(clusters)
+    least = tolerance * features.var(axis=0).mean()
     for _ in range(iterations):
-        rows = features[rng.choice(len(features), min(batch, len(features)), replace=False)]
-        nearest = ((rows[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1) if rows.size * clusters < 5e7 else _nearest(rows, centers)
-        for row, k in zip(rows, nearest, strict=True):
-            seen[k] += 1
-            centers[k] += (row - centers[k]) / seen[k]
+        before, order = centers.copy(), rng.permutation(len(features))
+        for at in range(0, len(order), batch):
+            rows = features[order[at : at + batch]]
+            nearest = ((rows[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1) if rows.size * clusters < 5e7 else _nearest(rows, centers)
+            for k in np.unique(nearest):
+                own = rows[nearest == k]
+                seen[k] += len(own)
+                centers[k] += (own - centers[k]).sum(axis=0) / seen[k]
+        if ((centers - before) ** 2).sum() <= least:
+            break
     return _nearest(features, centers)
 
 
@@ -41,7 +48,8 @@ def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 def kmeans_representatives(features: DataFrame, clusters: int, batch: int = 100, iterations: int = 50, seed: int = 0) -> DataFrame:
     """(video, frame): one random member of each cluster that isn't empty, per video of (video, frame, features). A video with fewer
-    frames than clusters gives them all; a batch is at most half of the frames. Equal seeds give equal choices."""
+    frames than clusters gives them all; a batch is at most half of the frames; `iterations` counts passes over all frames. Equal
+    seeds give equal choices."""
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame", kind="stable")

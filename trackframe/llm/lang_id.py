@@ -7,7 +7,9 @@ whole bytes say little about a few words. Where the best and the second best are
 prediction is rejected: it is still returned, with `rejected` set.
 
 Fitting uses a bounded sample: at most `SAMPLES` distinct texts a language, with an excerpt of at most `EXCERPT` characters
-each. Texts are drawn by a hash of their content, so copies count once. Sampled texts that the other half of the sample
+each. A dictionary, also one of the halves below, holds the first `CONTENT` bytes of its excerpts only, so with long excerpts most
+of the sampled texts aren't in the one that judges texts over `SHORT` bytes. Texts are drawn by a hash of their content, so
+copies count once. Sampled texts that the other half of the sample
 assigns to another language are dropped before the dictionaries are built, which makes wrong labels harmless.
 """
 

@@ -1,6 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models.
 
-Each class (toxic, ordinary) has a model of words. Counts are numbers of documents, as Kneser-Ney counts contexts rather than
+Each class (toxic, ordinary) has a model of words, one by one: their order is ignored, so a toxic phrase of ordinary words can't
+be told. Counts are numbers of documents, as Kneser-Ney counts contexts rather than
 tokens, so a word that one document repeats weighs no more than once. A word's probability is its discounted count in the
 class plus a backoff to its expression, the first `PREFIX` bytes, whose probability in the class backs off in turn to counts
 that both classes share; within an expression the shared counts tell the words apart. So inflected and unseen forms of a

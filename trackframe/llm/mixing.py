@@ -1,6 +1,6 @@
 """Mixing sources to target weights by systematic sampling.
 
-Every document of a source expects target / size copies. Documents are ordered within their source by (size, id), the
+Every document of a source expects target / size copies. Documents are ordered within their source by (size, id, content), the
 expected copies are summed along that order from one random offset, and a document is emitted once for every integer that
 its step crosses. Ordering by size keeps the words taken near the target, not only the number of documents.
 
@@ -51,10 +51,11 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
 
     Sources are ordered by code point, null last, and weigh `weights` in turn. Size is the number of words (null: 0). A
     source without words has the target 0 and gives nothing. A null id comes last among rows of its source and size.
-    Rows that repeat an id are ranked one after another, in no order of their own. An empty table gives no rows."""
+    Rows that repeat an id are ranked by a hash of all their columns, so only rows that are equal in every column are interchangeable
+    and reruns agree. Ids that are no whole numbers (text that isn't one, say) raise an error. An empty table gives no rows."""
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(*docs.columns).alias("content"),
         *([F.struct("*").alias("row")] if carry else []),
     )
     if not carry:
@@ -71,7 +72,10 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     )
     same = rows["source"].eqNullSafe(plan["source"])
     rows = rows.join(F.broadcast(plan.select("sid", "source")), same).drop("source")
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("doc_id") / F.lit(BLOCK)).cast("long"), F.lit(2**63 - 1)))
+    # rows without an id are dealt to the same number of blocks behind all others, in the order of their contents
+    unnamed = F.lit(2**62) + F.shiftrightunsigned(F.col("content"), 48)
+    block = F.floor(F.col("doc_id") / F.lit(BLOCK)).cast("long")
+    rows = rows.withColumn("block", F.when(F.col("doc_id").isNull(), unnamed).otherwise(block))
 
     counts = rows.groupBy("sid", "size", "block").agg(F.count("*").alias("n"))
     counts = stage(counts, "mix-counts")
@@ -80,7 +84,7 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     of_size = of_size.withColumn("smaller", F.sum("n").over(W.partitionBy("sid").orderBy("size")) - F.col("n")).drop("n")
     offsets = in_size.join(of_size, ["sid", "size"]).select("sid", "size", "block", (F.col("before") + F.col("smaller")).alias("before"))
 
-    within = F.row_number().over(W.partitionBy("sid", "size", "block").orderBy(F.col("doc_id").asc_nulls_last()))
+    within = F.row_number().over(W.partitionBy("sid", "size", "block").orderBy(F.col("doc_id").asc_nulls_last(), F.shiftrightunsigned("content", 1), "content"))
     ranked = rows.withColumn("within", within).join(offsets, ["sid", "size", "block"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("within")).join(F.broadcast(plan.drop("source")), "sid")
 
@@ -123,5 +127,5 @@ WITH d AS (
 ), c AS (
   SELECT *, CAST(floor(start + rate * rank) - floor(start + rate * (rank - 1)) AS BIGINT) AS copies FROM r
 )
-SELECT doc_id, size, source_size, round(target, 4) AS target, copies, copies * size AS taken FROM c
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM c
 """

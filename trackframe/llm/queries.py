@@ -26,7 +26,7 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_documents(spark, sf_dir)).withColumn("target", F.round("target", 4))
+    return mixing.mix(read_documents(spark, sf_dir))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def ring_by_hand(rows, shards, vnodes):
     start = points[-1][0] + 1
     placed = {}
     used = [0] * shards
-    for r in sorted(rows, key=lambda r: (arcs[r["cell"]], (r["cell"] - start) % sharding.CELLS, r["lane"], r["place"], r["doc_id"])):
+    for r in sorted(rows, key=lambda r: (arcs[r["cell"]], (r["cell"] - start) % sharding.CELLS, r["place"], r["lane"], r["doc_id"])):
         k = arcs[r["cell"]]
         while used[points[k][1]] >= room[points[k][1]]:
             k = (k + 1) % len(points)
@@ -85,6 +85,16 @@ def test_sharding_against_insertion_by_hand(spark):
         assert sorted(r.slot for r in found if r.shard == s) == list(range(sizes[s]))
 
 
+def test_copies_stay_together_in_crowded_cells(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CELLS", 64)
+    docs = documents(spark, [(i, f"text {i % 500}") for i in range(5000)])
+    shards = defaultdict(set)
+    for r in sharding.shard_rows(docs, shards=40, vnodes=4).collect():
+        shards[r.text_crc32].add(r.shard)
+    # a text parts only where a shard fills up, and each interval of the plan has two ends
+    assert sum(len(s) > 1 for s in shards.values()) <= 2 * 40 + 160 and sum(len(s) == 1 for s in shards.values()) > 350
+
+
 def test_sharding_moves_little_when_a_shard_is_added(spark):
     docs = documents(spark, [(i, prose(i, 6)) for i in range(2000)])
     a, b = ({r.doc_id: r.shard for r in sharding.shard_rows(docs, shards=n, vnodes=32).collect()} for n in (10, 11))

@@ -6,9 +6,11 @@ number of rows and differ by one at most. Documents enter in ring order, and one
 clockwise to the next point whose shard has room. So row counts are at most one apart, and a change of the number of shards
 or rows moves what the changed arcs hold and what overflows from them.
 
-Ranks along the ring come from counts by (cell, lane), where lanes split the rows of a cell by a hash of the id: a text that
-holds a third of all rows spreads over `LANES` groups. Only the counts of the arcs (shards x vnodes of them) reach the
-driver, which turns them into at most arcs + shards intervals of ranks, each with its shard and first slot.
+Along the ring documents are ordered by (cell, place, lane, id): copies of a text follow one another, so they part only where a
+shard fills up among them. Ranks come from counts by (cell, place, lane) within cells and counts of cells within arcs; lanes split
+the copies of one text by a hash of the id, so a text that a third of all rows hold spreads over `LANES` groups. Only the counts of
+the arcs (shards x vnodes of them) reach the driver, which turns them into at most arcs + shards intervals of ranks, each with its
+shard and first slot.
 """
 
 from __future__ import annotations
@@ -86,17 +88,19 @@ def shard_rows(docs: DataFrame, shards: int = 40, vnodes: int = 32, id_col: str
     points = ring(shards, vnodes)
     cells = spark.createDataFrame(list(enumerate(arc_of_cell(points))), "cell int, arc int")
 
-    counts = rows.groupBy("cell", "lane").agg(F.count("*").alias("n")).join(F.broadcast(cells), "cell")
+    counts = rows.groupBy("cell", "place", "lane").agg(F.count("*").alias("n"))
+    in_cell = W.partitionBy("cell").orderBy("place", "lane")
+    counts = stage(counts.withColumn("in_cell", F.sum("n").over(in_cell) - F.col("n")), "shard-counts")
+    of_cell = counts.groupBy("cell").agg(F.sum("n").alias("n")).join(F.broadcast(cells), "cell")
     start = points[-1][0] + 1  # the first arc also holds the cells after the last point, which come first clockwise
-    turned = F.pmod(F.col("cell") - F.lit(start), F.lit(CELLS))
-    along = W.partitionBy("arc").orderBy(turned, "lane")
-    counts = stage(counts.withColumn("before", F.sum("n").over(along) - F.col("n")), "shard-counts")
-    arc_rows = {r["arc"]: int(r["n"]) for r in counts.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
+    along = W.partitionBy("arc").orderBy(F.pmod(F.col("cell") - F.lit(start), F.lit(CELLS)))
+    of_cell = stage(of_cell.withColumn("in_arc", F.sum("n").over(along) - F.col("n")), "shard-cells")
+    arc_rows = {r["arc"]: int(r["n"]) for r in of_cell.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
     plan = spark.createDataFrame(fill(points, arc_rows, shards), "arc int, first long, end long, shard int, slot0 long")
 
-    within = F.row_number().over(W.partitionBy("cell", "lane").orderBy("place", "doc_id")) - 1
-    ranked = rows.withColumn("within", within).join(counts.select("cell", "lane", "arc", "before"), ["cell", "lane"])
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("within"))
+    within = F.row_number().over(W.partitionBy("cell", "place", "lane").orderBy("doc_id")) - 1
+    ranked = rows.withColumn("within", within).join(counts.drop("n"), ["cell", "place", "lane"]).join(F.broadcast(of_cell.drop("n")), "cell")
+    ranked = ranked.withColumn("rank", F.col("in_arc") + F.col("in_cell") + F.col("within"))
     placed = ranked.join(F.broadcast(plan), (ranked["arc"] == plan["arc"]) & (ranked["rank"] >= plan["first"]) & (ranked["rank"] < plan["end"]))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",

@@ -12,7 +12,8 @@ kind). Only those counts reach the driver; its decisions are intervals (length,
 bounded by the capacity and not by the number of documents. Ranks and lookups of rows stay distributed, and a length that
 holds a third of all rows is ranked in lanes.
 
-The identifiers are those of the vocabulary file: tiktoken reads the same vocabulary as ranks and yields the same ids.
+The identifiers are those of the vocabulary file: tiktoken reads the same vocabulary as ranks and yields the same ids, the string
+of the special token included, which becomes that token.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ CAPACITY = 1024
 END_ID = 2
 LANES = 256
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Fixed value: the vocabulary's special token.
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 @lru_cache(maxsize=2)
@@ -45,7 +48,7 @@ def encoding(path: str):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -62,7 +65,7 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int,
             for at in range(0, len(ids), 500):
                 out: list[list] = [[], [], [], [], [], []]
                 for doc_id, text in zip(ids[at : at + 500], batch.column(1).slice(at, 500), strict=True):
-                    tokens = np.append(np.asarray(coder.encode_to_numpy(text.as_py() or ""), dtype="<u4"), np.uint32(end_id)).astype("<u4")
+                    tokens = np.append(np.asarray(coder.encode_to_numpy(text.as_py() or "", allowed_special="all"), dtype="<u4"), np.uint32(end_id)).astype("<u4")
                     for k, (start, length) in enumerate(cut(len(tokens), capacity)):
                         part = tokens[start : start + length]
                         for column, value in zip(out, (doc_id, k, start, length, zlib.crc32(part.tobytes()), part.tolist() if with_ids else None), strict=True):

@@ -1,6 +1,6 @@
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -71,6 +71,43 @@ def test_toxicity_on_held_out_rows(spark):
     assert unseen[0].score > unseen[1].score  # by its expression
 
 
+def kneser_ney_by_hand(rows):
+    """rows: (text, model). How much likelier a word is in model 0 than in the mean of the others."""
+    d_word, d_part = toxicity.DISCOUNTS
+    pairs = defaultdict(set)
+    for text, model in rows:
+        w = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower()).split()
+        pairs[model] |= set(zip(w, ["", *w]))
+    part = lambda w: w.encode()[: toxicity.PREFIX]
+    words = {m: Counter(w for w, _ in s) for m, s in pairs.items()}
+    parts = {m: Counter(p for p, _ in {(part(w), v) for w, v in s}) for m, s in pairs.items()}
+    both, both_parts = sum(words.values(), Counter()), sum(parts.values(), Counter())
+    of_part = Counter()
+    for w, n in both.items():
+        of_part[part(w)] += n
+
+    def p(m, w):
+        free = lambda c, d: sum(min(n, d) for n in c.values()) / sum(c.values())
+        shared = (both_parts[part(w)] + 0.5) / (sum(both_parts.values()) + 1)
+        low = max(parts[m][part(w)] - d_part, 0) / sum(parts[m].values()) + free(parts[m], d_part) * shared
+        return max(words[m][w] - d_word, 0) / sum(words[m].values()) + free(words[m], d_word) * low * (both[w] + 0.5) / (of_part[part(w)] + 1)
+
+    others = [m for m in pairs if m]
+    return {w: math.log(p(0, w) / (sum(p(m, w) for m in others) / len(others))) for w in both}
+
+
+def test_kneser_ney_against_brute_force(spark):
+    rows = [(sentences(i, EN + DE[:6] if i % 4 else DE + ["grubworm", "grubworms", "Grubby!"], 25), 0 if i % 4 == 0 else 1 + i % 3) for i in range(80)]
+    model = toxicity.kneser_ney(spark.createDataFrame(rows, "text string, model int"))
+    expected = kneser_ney_by_hand(rows)
+    assert len(expected) > 40 and max(expected.values()) > 1
+    for w, gain in expected.items():
+        assert math.isclose(model.gains(w)[0], gain, rel_tol=1e-6, abs_tol=1e-9), w
+    text = "the grubworm der unknownword"
+    beyond = [math.copysign(max(abs(g) - toxicity.MARGIN, 0), g) for g in (*(expected[w] for w in text.split()[:3]), model.other)]
+    assert math.isclose(model.measure(text), sum(beyond) / 4, rel_tol=1e-6)
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = clashing(spark)
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (8, None), (9, 0), (11, 1)], "doc_id long, toxic int")

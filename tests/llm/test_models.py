@@ -3,9 +3,10 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
-from trackframe.llm import lang_id, lm_score, recurrent, toxicity
+from trackframe.llm import hashing, lang_id, lm_score, recurrent, toxicity
 from trackframe.llm.hashing import word_hashes
 
 from .helpers import awkward_rows, clashing, documents, empty, prose, words
@@ -27,6 +28,22 @@ def test_language_id_on_held_out_texts(spark):
     assert sum(right) >= 38 and all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_language_id_against_sizes_by_hand(spark):
+    """Every prediction is the language whose dictionary makes the text's windows smallest, whatever the text's length."""
+    rows = [(i, sentences(i, EN if i % 2 else DE, (3, 40, 900)[i % 3]), "en" if i % 2 else "de") for i in range(90)]
+    model = lang_id.fit(documents(spark, rows[:60]))
+    found = {r.doc_id: r for r in lang_id.identify(documents(spark, rows[60:]), model).collect()}
+    for i, text, _ in rows[60:]:
+        data, sizes = text.lower().encode(), {}
+        for lang, content in zip(model.languages, model.contents, strict=True):
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(level=lang_id.LEVEL, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(packer.compress(data[k : k + lang_id.WINDOW])) for k in range(0, len(data), lang_id.WINDOW))
+        best, second = sorted(sizes.values())[:2]
+        assert sizes[found[i].lang_pred] == best
+        assert math.isclose(found[i].margin, (second - best) / second) and found[i].rejected == (found[i].margin < lang_id.MARGIN)
+
+
 def test_wrong_labels_are_cleaned_from_the_sample():
     samples = {"en": [sentences(i, EN, 60).encode() for i in range(40)], "de": [sentences(i, DE, 60).encode() for i in range(36)] + [sentences(90 + i, EN, 60).encode() for i in range(4)]}
     kept = lang_id.cleaned(samples)
@@ -149,7 +166,7 @@ def test_lm_probabilities_sum_to_one(spark):
     rows = [(i, sentences(i, EN + [f"t{k}" for k in range(30)], 20)) for i in range(60)]
     model = lm_score.fit(documents(spark, rows), **SMALL)
     shape, vocabulary = model.shape, sorted({w for _, t in rows for w in words(t)})
-    context = model.encode("the and of")[0][:-1]
+    context = model.encode(["the and of"])[0][0][:-1]
     state = recurrent.run_window(model.weights, np.concatenate(([0], context))[:, None].astype(np.int32), np.zeros((1, shape.hidden), np.float32))[-1]
 
     def of(target):
@@ -157,7 +174,7 @@ def test_lm_probabilities_sum_to_one(spark):
 
     total = of(lm_score.END)
     for w in vocabulary:
-        ids, _, _, counts = model.encode(w.decode())
+        (ids,), _, _, counts, _ = model.encode([w.decode()])
         total += of(ids[0]) * (1 if ids[0] < shape.head else 10 ** (model.log_share(counts)[0] - model.tails[ids[0] - shape.head]))
     for k in range(shape.tails):
         total += of(shape.head + k) * 10 ** (model.log_share(np.array([0]))[0] - model.tails[k])
@@ -166,11 +183,11 @@ def test_lm_probabilities_sum_to_one(spark):
 
 
 def test_lm_trains_on_every_document(spark):
-    """More tokens than a sample would hold, and copies, in every round."""
+    """More tokens than a sample would hold, and copies, each in one of the rounds."""
     long = spark.range(80).select(F.concat(F.repeat(F.lit("one two of "), 7000), F.col("id") % 70).alias("text"))
     docs = long.union(documents(spark, [(1, "the end"), (2, "the end"), (3, None)]).select("text"))
     model = lm_score.fit(docs, shape=SMALL["shape"], replica_tokens=200_000)
-    assert model.tokens == 80 * 21_002 + 7 and model.trained == [model.tokens] * lm_score.ROUNDS
+    assert model.tokens == 80 * 21_002 + 7 and sum(model.trained) == model.tokens and len(model.trained) == lm_score.ROUNDS
 
 
 def test_lm_of_awkward_rows(spark):
@@ -204,6 +221,33 @@ def test_recurrent_gradients_match_differences():
         assert math.isclose((up - down) / 2e-2, gradient[at], rel_tol=2e-2, abs_tol=2e-3)
 
 
+def test_backpropagation_through_time_matches_differences():
+    """One window of training with a rate of 1e-4: how the weights move tells the gradient of each, recurrent ones included."""
+    shape = recurrent.Shape(hidden=4, classes=2, width=3, tails=2)
+    rng = np.random.default_rng(4)
+    p = {k: (v * 5 if k in "xu" else v).astype(np.float64) for k, v in recurrent.initial(shape, np.ones(shape.inputs)).items()}
+    ids = np.append(rng.integers(1, shape.inputs, 19), 0).astype(np.int32)
+    loss = lambda q: -recurrent.score(shape, q, [ids], 0)[0]
+    moved = {k: v.copy() for k, v in p.items()}
+    recurrent.train(shape, moved, {k: np.ones_like(v) for k, v in p.items()}, [ids], 0, rate=1e-4, streams=1)
+    for name, at in (("u", (1, 2)), ("u", (0, 5)), ("u", (3, 9)), ("x", (0, 1)), ("x", (int(ids[3]), 6)), ("x", (int(ids[5]), 10)), ("c", (2, 1)), ("w", (1, 0, 2)), ("wb", (0, 1))):
+        step = (p[name][at] - moved[name][at]) / 1e-4  # g / sqrt(1 + g * g)
+        keep = p[name][at]
+        p[name][at] = keep + 1e-2
+        up = loss(p)
+        p[name][at] = keep - 1e-2
+        slope = (up - loss(p)) / 2e-2
+        p[name][at] = keep
+        assert math.isclose(step, slope / math.sqrt(1 + slope * slope), rel_tol=3e-2, abs_tol=2e-4), (name, at)
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    text = prose(8, 3000) + " " + "x" * 5000 + " end"
+    whole = hashing.word_and_part_hashes(text, 2, False)
+    monkeypatch.setattr(hashing, "BLOCK", 700)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, hashing.word_and_part_hashes(text, 2, False), strict=True))
+
+
 def test_scores_do_not_depend_on_company():
     shape = recurrent.Shape(hidden=6, classes=3, width=3, tails=2)
     p = recurrent.initial(shape, np.ones(shape.inputs))

@@ -1,16 +1,14 @@
 """Language identification by compression.
 
-Each language has zstandard dictionaries of raw content, filled with excerpts of its training texts. A text is cut into
-windows, each window is compressed with every language's dictionary, and the language with the smallest total wins; the whole
-text is read. Texts of up to `SHORT` bytes are also measured against further dictionaries of the same language, since sizes in
-whole bytes say little about a few words. Where the best and the second best are closer than `MARGIN` of the second, the
-prediction is rejected: it is still returned, with `rejected` set.
-
-Fitting uses a bounded sample: at most `SAMPLES` distinct texts a language, with an excerpt of at most `EXCERPT` characters
-each. A dictionary, also one of the halves below, holds the first `CONTENT` bytes of its excerpts only, so with long excerpts most
-of the sampled texts aren't in the one that judges texts over `SHORT` bytes. Texts are drawn by a hash of their content, so
-copies count once. Sampled texts that the other half of the sample
-assigns to another language are dropped before the dictionaries are built, which makes wrong labels harmless.
+Each language has a zstandard dictionary of raw content, filled with excerpts of its training texts. A text is cut into windows, each
+window is compressed with every language's dictionary, and the language with the smallest total wins; the whole text is read, and
+texts of all lengths are judged alike. Where the best and the second best are closer than `MARGIN` of the second, the prediction is
+rejected: it is still returned, with `rejected` set.
+
+Fitting uses a bounded sample: at most `SAMPLES` distinct texts a language, with an excerpt of at most `EXCERPT` characters each, all of
+which the dictionary holds. Texts are drawn by a hash of their content, so copies count once. Sampled texts that the other half of the
+sample assigns to another language are dropped before the dictionaries are built, which makes wrong labels harmless. More than
+`MOST_LANGUAGES` languages are an error, since each has a dictionary in memory.
 """
 
 from __future__ import annotations
@@ -25,15 +23,14 @@ from pyspark.sql import functions as F
 
 from ..runtime import map_arrow
 
-SAMPLES, EXCERPT, MOST_LANGUAGES = 320, 2000, 1000
-LEVEL, CONTENT, WINDOW = 6, 65_536, 1024
-SHORT, EXTRA = 1024, 3
+SAMPLES, EXCERPT, MOST_LANGUAGES = 320, 200, 1000
+LEVEL, WINDOW = 6, 1024
 MARGIN = 0.004
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def _content(texts: list[bytes]) -> bytes:
-    return b"\n".join(texts)[:CONTENT] or b"\n" * 8
+    return b"\n".join(texts) or b"\n" * 8
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -51,22 +48,19 @@ def _windows(data: bytes) -> list[bytes]:
 
 
 class Classifier:
-    """languages: most frequent first, they win ties. contents: sets of dictionaries, one of each language; the first set
-    judges every text, the others short ones only."""
+    """languages: most frequent first, they win ties. contents: the dictionary of each."""
 
-    def __init__(self, languages: list[str], contents: list[list[bytes]]):
+    def __init__(self, languages: list[str], contents: list[bytes]):
         self.languages, self.contents = languages, contents
-        self.sets = [[_compressor(c) for c in s] for s in contents]
+        self.compressors = [_compressor(c) for c in contents]
 
     @classmethod
     def of(cls, samples: dict[str, list[bytes]]) -> Classifier:
-        parts = [[_content(t[k :: EXTRA + 1][::-1]) for t in samples.values()] for k in range(EXTRA)]
-        return cls(list(samples), [[_content(t) for t in samples.values()], *parts])
+        return cls(list(samples), [_content(t) for t in samples.values()])
 
     def sizes(self, data: bytes) -> list[int]:
         windows = _windows(data)
-        used = self.sets if len(data) <= SHORT else self.sets[:1]
-        return [sum(_size(s[i], windows) for s in used) for i in range(len(self.languages))]
+        return [_size(c, windows) for c in self.compressors]
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, margin). `und` with score and margin 0 if the text is null or has no letter."""

@@ -121,6 +121,6 @@ def test_summaries_and_command_line(spark, tmp_path, capsys):
     assert OutlierSummary(3, 1, 0, 1200).describe() == "1,200 frames of 3 videos; 1 not analyzed, 0 failed" and OutlierSummary(0, 0, 1, 0).successful is False
     assert PurgeSummary(2, 1, 10, False).describe().startswith("would delete 10")
     assert describe_gap(SplitMetrics("train", 1, 3.0, 3.0), SplitMetrics("test", 1, 5.0, 5.0)) == "gap +2.00 px"
-    assert cli.main(["image_name", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0 and spark.read.parquet(str(tmp_path / "o")).count() > 0
-    assert cli.main(["no_such_query", "/x"]) == 2
-    assert cli.main(["image_name", "/no/such/folder"]) == 1
+    assert cli.main(["query", "image_name", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0 and spark.read.parquet(str(tmp_path / "o")).count() > 0
+    assert cli.main(["query", "no_such_query", "/x"]) == 2
+    assert cli.main(["query", "image_name", "/no/such/folder"]) == 1

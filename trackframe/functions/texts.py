@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -30,6 +31,19 @@ def without_marker(line: Column, marker: str) -> Column:
     return ~line.contains(marker)
 
 
+def joined_lines(chunks: DataFrame, key: str = "key", order: str = "seq", text: str = "value") -> DataFrame:
+    """(key, line, value): the lines of a text that comes in chunks, which may end within a line. Lines are counted from 0; what stands
+    behind the last line feed is a line if it isn't empty. A key's chunks are numbered by a running sum of their line feeds and only
+    parts of lines that cross a chunk's end meet."""
+    of_key = W.partitionBy(key).orderBy(order)
+    feeds = F.size(F.split(text, "\n")) - 1
+    counted = chunks.select(key, order, F.split(text, "\n").alias("parts"), (F.sum(feeds).over(of_key) - feeds).alias("before"))
+    parts = counted.select(key, order, "before", F.posexplode("parts").alias("place", "part"))
+    pieces = parts.groupBy(key, (F.col("before") + F.col("place")).cast("long").alias("line")).agg(F.array_sort(F.collect_list(F.struct(order, "part"))).alias("pieces"))
+    lines = pieces.select(key, "line", F.array_join(F.transform("pieces", lambda p: p["part"]), "").alias("value"))
+    return lines.withColumn("last", F.max("line").over(W.partitionBy(key))).where((F.col("line") < F.col("last")) | (F.col("value") != "")).drop("last")
+
+
 def signed(value: Column, digits: int = 2) -> Column:
     return F.format_string(f"%+.{digits}f", value.cast("double"))
 

@@ -18,6 +18,30 @@ def surviving_individuals(truth: DataFrame) -> DataFrame:
     return truth.groupBy("image", "individual").agg(F.bool_or(seen).alias("survives")).where("survives").select("image", "individual")
 
 
+def joined_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """Predicted keypoints (image, individual, bodypart, ...) beside their truth, of the images that both sides have; images of one side
+    only are dropped. A keypoint without a truth has null coordinates there, and truths without a prediction give no row."""
+    both = predictions.join(truth.select("image").distinct(), "image", "left_semi")
+    return both.join(truth, ["image", "individual", "bodypart"], "left")
+
+
+def named_keypoint_metrics(metrics: DataFrame, bodyparts: DataFrame) -> DataFrame:
+    """(bodypart, rmse) from metrics (name, value) called rmse_keypoint_<i>, where i is the bodypart's ord; missing values are left out."""
+    i = F.regexp_extract("name", r"^rmse_keypoint_(\d+)$", 1).try_cast("long")
+    known = metrics.select(i.alias("ord"), F.col("value").alias("rmse")).where(F.col("ord").isNotNull() & is_finite(F.col("rmse")))
+    return known.join(bodyparts.select(F.col("ord").cast("long").alias("ord"), "bodypart"), "ord").select("bodypart", "rmse")
+
+
+def chosen_snapshot(snapshots: DataFrame, index: int | str = -1) -> DataFrame:
+    """(epoch, path) of one snapshot of (epoch, path, best): by its place in the order of epochs, from the end if negative, or the best
+    one; where no snapshot is marked best, the last. No row if there is none."""
+    best = F.col("best").cast("int") if index == "best" else F.lit(0)
+    back = index == "best" or index < 0
+    place = W.orderBy(best.desc(), F.col("epoch").desc()) if back else W.orderBy("epoch")
+    wanted = 1 if index == "best" else -index if back else index + 1
+    return snapshots.withColumn("place", F.row_number().over(place)).where(F.col("place") == wanted).select("epoch", "path")
+
+
 def evaluation_tidy(joined: DataFrame, cutoff: float = 0.6) -> DataFrame:
     """One row per predicted keypoint of an image that both sides have: error_px is the distance to a visible truth, NaN otherwise;
     above_pcutoff includes the cutoff itself. Expects image, video, split, individual, bodypart, x, y, likelihood, gt_x, gt_y, v."""
@@ -120,23 +144,34 @@ def image_matches(rows: DataFrame) -> DataFrame:
 
 
 def average_precision(matches: DataFrame, thresholds: tuple[float, ...] = tuple(0.5 + 0.05 * i for i in range(10)), bins: int = 1000) -> DataFrame:
-    """One row (map, mar): mean over similarity thresholds of the 101-point precision, and of the recall.
-
-    Scores are binned (`bins` of them between 0 and 1), so the ranked list is a histogram of fixed size rather than all rows."""
+    """One row (map, mar): mean over similarity thresholds of the 101-point precision, and of the recall, exact over all distinct scores;
+    equal scores are ranked together. Running sums and maxima along the scores are taken within `bins` parts of them first and then over
+    the parts, so no task holds all scores."""
     truths = matches.groupBy("image").agg(F.max("truths").alias("t")).agg(F.coalesce(F.sum("t"), F.lit(0)).alias("total"))
-    each = matches.select(
-        F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int").alias("bin"), F.explode(F.array(*(F.struct(F.lit(t).alias("at"), (F.coalesce("oks", F.lit(0.0)) >= t).cast("long").alias("hit")) for t in thresholds))).alias("h")
+    hits = F.array(*(F.struct(F.lit(t).alias("at"), (F.coalesce("oks", F.lit(0.0)) >= t).cast("long").alias("hit")) for t in thresholds))
+    each = matches.select("score", F.explode(hits).alias("h")).groupBy("score", F.col("h.at").alias("at")).agg(F.sum("h.hit").alias("hits"), F.count("*").alias("n"))
+    each = each.withColumn("bin", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int"))
+
+    inside = W.partitionBy("at", "bin")
+    down, all_rows = inside.orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, 0), W.partitionBy("at")
+    sums = each.groupBy("at", "bin").agg(F.sum("hits").alias("h"), F.sum("n").alias("m"))
+    above = all_rows.orderBy(F.col("bin").desc())
+    sums = sums.select("at", "bin", (F.sum("h").over(above) - F.col("h")).alias("h0"), (F.sum("m").over(above) - F.col("m")).alias("m0"))
+    curve = each.select("at", "bin", "score", F.sum("hits").over(down).alias("tp"), F.sum("n").over(down).alias("seen")).join(F.broadcast(sums), ["at", "bin"])
+    curve = curve.crossJoin(F.broadcast(truths)).select(
+        "at", "bin", "score", ((F.col("tp") + F.col("h0")) / (F.col("seen") + F.col("m0"))).alias("precision"), F.try_divide(F.col("tp") + F.col("h0"), F.col("total")).alias("recall")
     )
-    hist = each.groupBy("bin", F.col("h.at").alias("at")).agg(F.sum("h.hit").alias("hits"), F.count("*").alias("n"))
-    down = W.partitionBy("at").orderBy(F.col("bin").desc()).rowsBetween(W.unboundedPreceding, 0)
-    curve = hist.select("at", "bin", F.sum("hits").over(down).alias("tp"), F.sum("n").over(down).alias("seen")).crossJoin(F.broadcast(truths))
-    curve = curve.select("at", "bin", (F.col("tp") / F.col("seen")).alias("precision"), F.try_divide(F.col("tp"), F.col("total")).alias("recall"))
-    best = F.max("precision").over(W.partitionBy("at").orderBy("bin").rowsBetween(W.unboundedPreceding, 0))
-    curve = curve.withColumn("best", best)
-    points = curve.groupBy("at").agg(F.max("recall").alias("recall"), F.sort_array(F.collect_list(F.struct("recall", "best"))).alias("points"))
-    at_recall = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda r: F.coalesce(F.get(F.filter("points", lambda p: p["recall"] >= r / 100), F.lit(0))["best"], F.lit(0.0)))
-    ap = F.aggregate(at_recall, F.lit(0.0), lambda s, v: s + v) / 101
-    return points.select("recall", ap.alias("ap")).agg(F.avg("ap").alias("map"), F.avg("recall").alias("mar"))
+    # the best precision at this recall or a higher one, which lies at this score or a lower one
+    tops = curve.groupBy("at", "bin").agg(F.max("precision").alias("top"))
+    tops = tops.select("at", "bin", F.max("top").over(all_rows.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)).alias("below"))
+    up = inside.orderBy("score").rowsBetween(W.unboundedPreceding, 0)
+    curve = curve.withColumn("own", F.max("precision").over(up)).join(F.broadcast(tops), ["at", "bin"])
+    curve = curve.withColumn("best", F.greatest("own", F.coalesce("below", F.lit(0.0))))
+    # a point of the curve serves the recall levels r / 100 that it reaches; of those that serve a level the best is the first
+    levels = curve.groupBy("at", F.least(F.floor(F.col("recall") * 100 + 1e-9), F.lit(100)).cast("int").alias("level")).agg(F.max("best").alias("best"), F.max("recall").alias("recall"))
+    by = levels.groupBy("at").agg(F.max("recall").alias("recall"), F.collect_list(F.struct("level", "best")).alias("points"))
+    at_recall = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda r: F.coalesce(F.array_max(F.transform(F.filter("points", lambda p: p["level"] >= r), lambda p: p["best"])), F.lit(0.0)))
+    return by.select("recall", (F.aggregate(at_recall, F.lit(0.0), lambda s, v: s + v) / 101).alias("ap")).agg(F.avg("ap").alias("map"), F.avg("recall").alias("mar"))
 
 
 def epoch_metric_means(metrics: DataFrame) -> DataFrame:

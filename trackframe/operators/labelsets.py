@@ -36,6 +36,17 @@ def removable_outliers(machine: DataFrame, human: DataFrame, iteration: int, sco
     return rows.join(finite_labels(human), KEY, "left_anti")
 
 
+def cleared_outliers(machine: DataFrame, human: DataFrame, refined: DataFrame, iteration: int, scope: DataFrame | None = None) -> DataFrame:
+    """(video, removed, refinement): by directory with machine labels of the iteration, how many frames a clearing removes, and whether
+    it discards a refinement of them."""
+    rows = machine.where(F.col("iteration") == iteration).select("video").distinct()
+    rows = rows if scope is None else rows.join(scope, "video", "left_semi")
+    removed = removable_outliers(machine, human, iteration, scope).groupBy("video").agg(F.count("*").alias("removed"))
+    discarded = refined.select("video").distinct().withColumn("refinement", F.lit(True))
+    found = rows.join(removed, "video", "left").join(discarded, "video", "left")
+    return found.select("video", F.coalesce("removed", F.lit(0)).cast("long").alias("removed"), F.coalesce("refinement", F.lit(False)).alias("refinement"))
+
+
 def pending_frames(machine: DataFrame, human: DataFrame, refined: DataFrame, iteration: int) -> DataFrame:
     """Machine-labelled frames of the iteration with neither a finite human nor a finite refined label."""
     done = finite_labels(human).unionByName(finite_labels(refined)).distinct()
@@ -47,6 +58,11 @@ def pending_refinement(machine: DataFrame, human: DataFrame, refined: DataFrame,
     return pending_frames(machine, human, refined, iteration).groupBy("video").agg(F.count("*").alias("pending"))
 
 
+def pending_report(pending: DataFrame) -> DataFrame:
+    """The directories with pending frames, by name."""
+    return pending.orderBy("video")
+
+
 def drop_label_rows(labels: DataFrame, removed: DataFrame) -> DataFrame:
     """Label rows but those of removed frames."""
     return labels.join(removed.select(*KEY), KEY, "left_anti")

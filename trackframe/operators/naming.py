@@ -23,7 +23,8 @@ def inferred_groups(videos: DataFrame) -> DataFrame:
 
 
 def pattern_groups(videos: DataFrame, pattern: str) -> DataFrame:
-    """Groups by a regular expression of Python: its first group if that took part, else the whole match, else the stem."""
+    """Groups by a regular expression of Python: its first group if that took part, else the whole match; the stem
+    where nothing matches, or nothing but an empty string."""
     re.compile(pattern)
 
     @F.pandas_udf("string")
@@ -34,7 +35,8 @@ def pattern_groups(videos: DataFrame, pattern: str) -> DataFrame:
             match = compiled.search(name)
             if match is None:
                 return name
-            return match.group(1) if compiled.groups and match.group(1) is not None else match.group(0)
+            own = match.group(1) if compiled.groups and match.group(1) is not None else match.group(0)
+            return own or name
 
         return stems.map(of)
 

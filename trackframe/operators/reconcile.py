@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.paths import stem
 
 
-def registered_match(registered: DataFrame, requested: DataFrame) -> DataFrame:
-    """(ord, path) of the registered videos (ord, path) that are requested (path), each once."""
-    return registered.join(requested.select("path"), "path", "left_semi").select("ord", "path")
+def resolved(path: Column, base: str = "/") -> Column:
+    """The path made absolute below `base`, without '.', '..' and empty parts."""
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), path))
+    parts = F.filter(F.split(full, "/"), lambda p: ~p.isin("", "."))
+    step = lambda done, p: F.when(p == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(p)))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
+def registered_match(registered: DataFrame, requested: DataFrame, base: str = "/") -> DataFrame:
+    """(ord, path) of the registered videos (ord, path) that are requested (path), each once; both by their resolved paths below `base`."""
+    own, asked = registered.withColumn("at", resolved(F.col("path"), base)), requested.select(resolved(F.col("path"), base).alias("at"))
+    return own.join(asked, "at", "left_semi").select("ord", "path")
 
 
-def unmatched_requests(registered: DataFrame, requested: DataFrame) -> DataFrame:
-    return requested.select("path").distinct().join(registered.select("path"), "path", "left_anti")
+def unmatched_requests(registered: DataFrame, requested: DataFrame, base: str = "/") -> DataFrame:
+    """(path) of the requests, each once, that resolve to no registered video."""
+    own = registered.select(resolved(F.col("path"), base).alias("at"))
+    return requested.select("path", resolved(F.col("path"), base).alias("at")).dropDuplicates(["at"]).join(own, "at", "left_anti").select("path")
 
 
 def analyzed_videos(registered: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -23,15 +36,22 @@ def analyzed_videos(registered: DataFrame, predictions: DataFrame) -> DataFrame:
     return registered.join(predictions.select("video").distinct(), "video", "left_semi")
 
 
-def refinement_exclusion(videos: DataFrame, machine: DataFrame) -> DataFrame:
-    """Videos without machine labels of any iteration."""
-    return videos.join(machine.select("video").distinct(), "video", "left_anti")
+def in_refinement(machine: DataFrame, refined: DataFrame | None = None) -> DataFrame:
+    """(video) with machine labels of any iteration or a refinement of them."""
+    found = machine.select("video")
+    return (found if refined is None else found.unionByName(refined.select("video"))).distinct()
+
+
+def refinement_exclusion(videos: DataFrame, machine: DataFrame, refined: DataFrame | None = None) -> DataFrame:
+    """Videos without machine labels of any iteration and without a refinement of them."""
+    return videos.join(in_refinement(machine, refined), "video", "left_anti")
 
 
 def duplicate_stems(videos: DataFrame) -> DataFrame:
-    """(stem, paths): stems that different paths share. The same path twice is allowed."""
+    """(stem, paths, first_path, other_path): stems that different paths share, with the first and the last of these by name. The same
+    path twice is allowed."""
     named = videos.select(stem(F.col("path")).alias("stem"), "path").where("stem <> ''").distinct()
-    return named.groupBy("stem").agg(F.count("*").alias("paths")).where("paths > 1")
+    return named.groupBy("stem").agg(F.count("*").alias("paths"), F.min("path").alias("first_path"), F.max("path").alias("other_path")).where("paths > 1")
 
 
 def duplicate_targets(videos: DataFrame) -> DataFrame:
@@ -39,6 +59,14 @@ def duplicate_targets(videos: DataFrame) -> DataFrame:
     return videos.groupBy("directory", stem(F.col("path")).alias("stem")).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def require_unique_stems(videos: DataFrame) -> DataFrame:
+    """`videos` again; an error that names both paths where two share a stem, since their frames would share a folder."""
+    clash = duplicate_stems(videos).orderBy("stem").limit(1).collect()
+    if clash:
+        raise ValueError(f"{clash[0]['first_path']} and {clash[0]['other_path']} share the name {clash[0]['stem']!r}")
+    return videos
+
+
 def ordered_dedup(rows: DataFrame, key: str, last_wins: bool = False) -> DataFrame:
     """The first row of each key by ord, or with `last_wins` the last row at the first one's place."""
     of_key = W.partitionBy(key)
@@ -63,12 +91,20 @@ def existing_files(registered: DataFrame, listing: DataFrame) -> DataFrame:
 
 def resolved_outputs(videos: DataFrame, listing: DataFrame, scorer: str) -> DataFrame:
     """(stem, output): the file <stem><scorer>.h5 if it exists, else the last by name that begins so; null without any."""
-    named = videos.select("stem", F.concat(F.col("stem"), F.lit(scorer)).alias("prefix"))
-    found = named.join(listing.select("name"), F.col("name").startswith(F.col("prefix")) & F.col("name").endswith(".h5"), "left")
-    exact = F.max(F.when(F.col("name") == F.concat("prefix", F.lit(".h5")), F.col("name")))
+    # a name begins with a stem and the scorer wherever the scorer stands in it, so names are keyed by what comes before each place
+    times = F.size(F.split("name", re.escape(scorer))) - 1
+    names = listing.select("name").where(F.col("name").endswith(".h5")).withColumn("k", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
+    names = names.select("name", F.substring_index("name", scorer, F.col("k")).alias("stem"))
+    found = videos.select("stem").join(names, "stem", "left")
+    exact = F.max(F.when(F.col("name") == F.concat("stem", F.lit(f"{scorer}.h5")), F.col("name")))
     return found.groupBy("stem").agg(F.coalesce(exact, F.max("name")).alias("output"))
 
 
+def ordered_outputs(videos: DataFrame, outputs: DataFrame) -> DataFrame:
+    """(ord, stem, output) in the order of the videos (ord, stem)."""
+    return videos.select("ord", "stem").join(outputs, "stem").select("ord", "stem", "output").orderBy("ord")
+
+
 def unreported_work(items: DataFrame, claims: DataFrame, results: DataFrame, exits: DataFrame) -> DataFrame:
     """(key, state) of items without a result: 'lost with its worker' if the worker that claimed it has exited with an error, 'claimed'
     if not, 'never claimed' without a claim."""

@@ -91,6 +91,17 @@ def per_group_coverage(candidates: DataFrame, selected: DataFrame, ceiling: int)
     )
 
 
+def with_pins(candidates: DataFrame, requested: DataFrame) -> DataFrame:
+    """Candidates, pinned where their video is requested; requests that are no candidates play no part."""
+    asked = requested.select("video").distinct().withColumn("asked", F.lit(True))
+    return candidates.drop("pinned").join(asked, "video", "left").withColumn("pinned", F.coalesce("asked", F.lit(False))).drop("asked")
+
+
+def coverage_report(coverage: DataFrame) -> DataFrame:
+    """Groups by falling gain, then by name."""
+    return coverage.orderBy(F.col("added").desc(), "group")
+
+
 def starved_groups(coverage: DataFrame) -> DataFrame:
     """One row: groups sampled (added > 0) and starved (nothing added though videos were available)."""
     return coverage.agg(F.count(F.when(F.col("added") > 0, 1)).alias("sampled"), F.count(F.when((F.col("added") == 0) & (F.col("available") > 0), 1)).alias("starved"))

@@ -22,6 +22,19 @@ def uniform_selection(candidates: DataFrame, count: int) -> DataFrame:
     return ranked.where((F.col("n") <= count) | picked).select("video", "frame")
 
 
+def uniform_counts(candidates: DataFrame, counts: DataFrame) -> DataFrame:
+    """Like `uniform_selection` with a number of its own for each video of `counts` (video, picks); other videos give none."""
+    of_video = W.partitionBy("video")
+    ranked = candidates.join(counts.select("video", "picks"), "video").select(
+        "video", "frame", "picks", (F.row_number().over(of_video.orderBy("frame")) - 1).cast("long").alias("rank"), F.count("*").over(of_video).alias("n")
+    )
+    least = F.expr("(rank * (picks - 1) + n - 2) div greatest(n - 1, 1)")
+    picked = F.when(F.col("picks") == 1, F.col("rank") == 0).otherwise(
+        (least <= F.col("picks") - 1) & (F.floor(least * (F.col("n") - 1) / F.greatest(F.col("picks") - 1, F.lit(1).cast("long"))) == F.col("rank"))
+    )
+    return ranked.where((F.col("n") <= F.col("picks")) | picked).select("video", "frame")
+
+
 def kmeans(features: np.ndarray, clusters: int, batch: int, iterations: int, rng: np.random.Generator, tolerance: float = 1e-3) -> np.ndarray:
     """Mini-batch k-means; the cluster of each row. An iteration is a pass over all rows in random order; they end early once a
     pass moves the centers by no more than `tolerance` of the features' mean variance (squared distances, summed)."""

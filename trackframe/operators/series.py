@@ -14,8 +14,13 @@ from ..functions.paths import parse_crop
 
 
 def bodypart_projection(predictions: DataFrame, bodyparts: list[str]) -> DataFrame:
-    """Rows of the named bodyparts; all rows when none is named."""
-    return predictions.where(F.col("bodypart").isin(bodyparts)) if bodyparts else predictions
+    """Rows of the named bodyparts; all rows when none is named. Names of which no row has any are an error."""
+    if not bodyparts:
+        return predictions
+    found = predictions.where(F.col("bodypart").isin(bodyparts))
+    if not found.limit(1).count() and predictions.limit(1).count():
+        raise ValueError(f"none of the bodyparts {', '.join(map(repr, bodyparts))} is in the predictions")
+    return found
 
 
 def keypoint_series(predictions: DataFrame) -> DataFrame:

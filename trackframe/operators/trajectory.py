@@ -1,8 +1,9 @@
 """Departures of keypoints from a fitted trajectory.
 
 `ar1_deviation` fits x[t] = a + b * x[t-1] by least squares in closed form, natively. `arma_deviation` fits ARMA(p, q) per keypoint
-and axis by the Hannan-Rissanen regressions and takes one-step residuals of a filter that carries its own prediction through rows
-without confidence; its numbers are those of this estimator, not of a maximum-likelihood fit.
+and axis by the Hannan-Rissanen regressions and filters one step ahead, carrying its own prediction through rows without confidence;
+its numbers are those of this estimator, not of a maximum-likelihood fit. Rows without confidence leave the fit and the filter only:
+every row with coordinates has its distance from the fit, or an unlikely and far position could not be flagged.
 """
 
 from __future__ import annotations
@@ -21,19 +22,25 @@ _KEY = ("video", "individual", "bodypart")
 
 
 def ar1_deviation(predictions: DataFrame, minimum_confidence: float = 0.01) -> DataFrame:
-    """(video, individual, bodypart, frame, deviation) from first-order fits over confident rows; null before the second row and where
-    no line can be fitted."""
-    rows = predictions.where(finite(F.col("likelihood")) >= minimum_confidence)
+    """(video, individual, bodypart, frame, deviation) from first-order fits over pairs of neighbouring confident rows. Each row is held
+    against the fit from the last confident row before it; null where there is none and where no line can be fitted."""
+    confident = F.coalesce(finite(F.col("likelihood")) >= minimum_confidence, F.lit(False))
     order = W.partitionBy(*_KEY).orderBy("frame")
-    rows = rows.select(*_KEY, "frame", *(finite(F.col(c)).alias(c) for c in "xy"), *(F.lag(finite(F.col(c))).over(order).alias(f"{c}0") for c in "xy"))
-    fits = rows.groupBy(*_KEY).agg(*(f(c, f"{c}0").alias(f"{c}{n}") for c in "xy" for n, f in (("b", F.regr_slope), ("a", F.regr_intercept))))
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    last = lambda c: F.last(F.when(confident, finite(F.col(c))), ignorenulls=True).over(before)
+    rows = predictions.select(
+        *_KEY, "frame", (confident & F.lag(confident, 1, False).over(order)).alias("fits"), *(finite(F.col(c)).alias(c) for c in "xy"), *(last(c).alias(f"{c}0") for c in "xy")
+    )
+    own = lambda c: F.when(F.col("fits"), F.col(c))
+    fits = rows.groupBy(*_KEY).agg(*(f(own(c), own(f"{c}0")).alias(f"{c}{n}") for c in "xy" for n, f in (("b", F.regr_slope), ("a", F.regr_intercept))))
     joined = rows.join(fits, list(_KEY))
     gap = {c: F.col(c) - (F.col(f"{c}a") + F.col(f"{c}b") * F.col(f"{c}0")) for c in "xy"}
     return joined.select(*_KEY, "frame", euclidean(gap["x"], gap["y"]).alias("deviation"))
 
 
 def arma_residuals(series: np.ndarray, confident: np.ndarray, p: int, q: int) -> np.ndarray:
-    """Residuals of one axis; NaN everywhere if the fit fails. A pure function of its arguments."""
+    """Observed minus fitted positions of one axis, NaN where nothing was observed; NaN everywhere if the fit fails. Rows that aren't
+    confident take no part in the fit. A pure function of its arguments."""
     n, good = len(series), confident & np.isfinite(series)
     try:
         if good.sum() < 3 * (p + q + 1):
@@ -53,7 +60,7 @@ def arma_residuals(series: np.ndarray, confident: np.ndarray, p: int, q: int) ->
         for t in range(n):
             predicted = past @ weights[:p] + errors @ weights[p:]
             seen = x[t] if good[t] else predicted
-            out[t] = seen - predicted if good[t] else np.nan
+            out[t] = series[t] - mean - predicted
             past = np.concatenate(([seen], past[:-1])) if p else past
             errors = np.concatenate(([seen - predicted], errors[:-1])) if q else errors
         return out

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import numbers, paths, texts
+from ..functions import nested, numbers, paths, texts
 from ..operators import detect, evaluate, labelsets, naming, progress, ranges, reconcile, sampling, select, series, trajectory
 from ..sources import fixtures as fx
+from . import pipelines
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -152,8 +153,10 @@ def deviation_topk_fallback(spark, sf):
 
 
 @query(
-    """, l AS (SELECT video, frame, x, y, lag(x) OVER w AS x0, lag(y) OVER w AS y0 FROM pred1 WHERE likelihood >= 0.1::DOUBLE WINDOW w AS (PARTITION BY video ORDER BY frame)),
-    f AS (SELECT video, regr_slope(x, x0) AS xb, regr_intercept(x, x0) AS xa, regr_slope(y, y0) AS yb, regr_intercept(y, y0) AS ya FROM l GROUP BY video)
+    """, g AS (SELECT *, likelihood >= 0.1::DOUBLE AS good FROM pred1),
+    l AS (SELECT video, frame, x, y, good AND coalesce(lag(good) OVER w, false) AS fits, last_value(CASE WHEN good THEN x END IGNORE NULLS) OVER b AS x0, last_value(CASE WHEN good THEN y END IGNORE NULLS) OVER b AS y0
+      FROM g WINDOW w AS (PARTITION BY video ORDER BY frame), b AS (PARTITION BY video ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    f AS (SELECT video, regr_slope(x, x0) AS xb, regr_intercept(x, x0) AS xa, regr_slope(y, y0) AS yb, regr_intercept(y, y0) AS ya FROM l WHERE fits GROUP BY video)
     SELECT video, frame FROM l JOIN f USING (video) WHERE sqrt((x - xa - xb * x0) ** 2 + (y - ya - yb * y0) ** 2) > 60""",
     "pred1",
 )
@@ -230,6 +233,16 @@ def removable_outliers(spark, sf):
     return labelsets.removable_outliers(fx.machine(spark, sf), fx.human(spark, sf), 1)
 
 
+@query(
+    """SELECT m.video, coalesce(r.removed, 0) AS removed, m.video IN (SELECT DISTINCT video FROM disk_frames WHERE image % 50 = 0) AS refinement FROM (SELECT DISTINCT video FROM machine WHERE iteration = 1 AND video IS NOT NULL) m
+    LEFT JOIN (SELECT video, count(*) AS removed FROM (SELECT video, image FROM machine WHERE iteration = 1 EXCEPT SELECT video, image FROM finite) GROUP BY video) r USING (video)""",
+    "finite", "machine", "disk_frames",
+)
+def cleared_outliers(spark, sf):
+    refined = fx.disk_frames(spark, sf).where("image % 50 = 0")
+    return labelsets.cleared_outliers(fx.machine(spark, sf).where("video is not null"), fx.human(spark, sf), refined, 1)
+
+
 @query(
     """SELECT video, count(*) AS pending FROM (SELECT video, image FROM machine WHERE iteration = 0 EXCEPT (SELECT video, image FROM finite UNION SELECT video, image FROM disk_frames WHERE image % 7 = 0)) GROUP BY video""",
     "finite", "machine", "disk_frames",
@@ -278,18 +291,33 @@ def analyzed_videos(spark, sf):
     return reconcile.analyzed_videos(fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("video")), fx.pred(spark, sf))
 
 
-@query("SELECT c_custkey AS video FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_id % 3 = 0)")
+@query("SELECT c_custkey AS video FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_id % 30 = 0) AND c_custkey % 7 <> 0")
 def refinement_exclusion(spark, sf):
-    machine = fx.table(spark, sf, "events").where("event_id % 3 = 0").select(F.col("user_id").alias("video"))
-    return reconcile.refinement_exclusion(fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("video")), machine)
+    machine = fx.table(spark, sf, "events").where("event_id % 30 = 0").select(F.col("user_id").alias("video"))
+    videos = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("video"))
+    return reconcile.refinement_exclusion(videos, machine, videos.where("video % 7 = 0"))
+
+
+@query("""SELECT o_orderkey AS ord, '/data/d' || (o_orderkey % 3) || '/m' || (o_custkey % 20) || '.mp4' AS path FROM orders""")
+def resolved_paths(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    name = F.concat(F.lit("m"), (F.col("o_custkey") % 20).cast("string"), F.lit(".mp4"))
+    folder = F.concat(F.lit("d"), (F.col("o_orderkey") % 3).cast("string"))
+    crooked = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("/data/./x/../"), folder, F.lit("//"), name)).otherwise(F.concat(F.lit("../"), folder, F.lit("/./"), name))
+    return o.select(F.col("o_orderkey").alias("ord"), reconcile.resolved(crooked, "/data/project").alias("path"))
 
 
 _STEM = r"regexp_extract(path, '([^/]+?)(\.[^./]*)?$', 1)"
 
 
-@query(f"SELECT stem, count(*) AS paths FROM (SELECT DISTINCT {_STEM} AS stem, path FROM videos) GROUP BY stem HAVING count(*) > 1", "videos")
+@query(
+    f"""SELECT stem, count(*) AS paths, min(path) AS first_path, max(path) AS other_path FROM (SELECT DISTINCT {_STEM} AS stem, path
+    FROM (SELECT '/data/d' || (o_orderkey % 2) || '/clip' || (o_custkey % 50) || '.mp4' AS path FROM orders)) GROUP BY stem HAVING count(*) > 1"""
+)
 def duplicate_stems(spark, sf):
-    return reconcile.duplicate_stems(fx.videos(spark, sf))
+    o = fx.table(spark, sf, "orders")
+    path = F.concat(F.lit("/data/d"), (F.col("o_orderkey") % 2).cast("string"), F.lit("/clip"), (F.col("o_custkey") % 50).cast("string"), F.lit(".mp4"))
+    return reconcile.duplicate_stems(o.select(path.alias("path")))
 
 
 @query(f'SELECT directory, {_STEM} AS stem, count(*) AS "rows" FROM videos GROUP BY ALL HAVING count(*) > 1', "videos")
@@ -360,10 +388,23 @@ def group_members(spark, sf):
 # ---- sampling
 
 
-@query("SELECT s.video, count(d.image) AS existing FROM (SELECT 'src' || i AS video FROM range(25) t(i)) s LEFT JOIN disk_frames d USING (video) GROUP BY s.video", "disk_frames")
+@query(
+    """SELECT s.video, count(d.image) AS existing FROM (SELECT video FROM disk_frames WHERE video IS NOT NULL UNION SELECT 'none' || n_nationkey FROM nation) s LEFT JOIN disk_frames d USING (video) GROUP BY s.video""",
+    "disk_frames",
+)
 def extracted_counts(spark, sf):
-    v = spark.range(25).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("video"))
-    return sampling.extracted_counts(v, fx.disk_frames(spark, sf))
+    frames = fx.disk_frames(spark, sf)
+    none = fx.table(spark, sf, "nation").select(F.concat(F.lit("none"), F.col("n_nationkey").cast("string")).alias("video"))
+    return sampling.extracted_counts(frames.where("video is not null").select("video").unionByName(none).distinct(), frames)
+
+
+@query(
+    """SELECT video, "group", existing, coalesce(video % 13 = 0, false) AS pinned FROM candidates""", "candidates",
+)
+def pinned_candidates(spark, sf):
+    c = fx.candidates(spark, sf)
+    requested = c.where("video % 13 = 0").select("video").unionByName(spark.range(1).select((F.col("id") - 1).alias("video")))
+    return sampling.with_pins(c, requested).select("video", "group", "existing", "pinned")
 
 
 @query("SELECT video, cap AS picks FROM candidates WHERE cap > 0", "candidates")
@@ -507,9 +548,119 @@ def image_matches(spark, sf):
     return evaluate.image_matches(fx.truth(spark, sf))
 
 
-@query()
+_THRESHOLDS = tuple(0.5 + 0.05 * i for i in range(10))
+
+
+@query(
+    f"""WITH m AS (SELECT user_id AS image, (event_id * 37 % 1000)::DOUBLE / 1000 AS score, CASE WHEN event_id % 7 <> 0 THEN (event_id * 13 % 101)::DOUBLE / 100 END AS oks, 40 AS truths FROM events),
+    t AS (SELECT unnest([{", ".join(f"{x!r}::DOUBLE" for x in _THRESHOLDS)}]) AS cut), n AS (SELECT sum(x) AS total FROM (SELECT max(truths) AS x FROM m GROUP BY image)),
+    e AS (SELECT cut, score, count(*) FILTER (coalesce(oks, 0) >= cut) AS hits, count(*) AS n FROM m, t GROUP BY cut, score),
+    c AS (SELECT cut, score, sum(hits) OVER w / (sum(n) OVER w)::DOUBLE AS p, sum(hits) OVER w / total::DOUBLE AS recall FROM e, n WINDOW w AS (PARTITION BY cut ORDER BY score DESC)),
+    b AS (SELECT *, max(p) OVER (PARTITION BY cut ORDER BY score) AS best FROM c),
+    l AS (SELECT cut, r, coalesce(max(best) FILTER (recall * 100 + 1e-9 >= r), 0) AS best FROM b, range(101) x(r) GROUP BY cut, r)
+    SELECT round((SELECT avg(s) FROM (SELECT sum(best) / 101 AS s FROM l GROUP BY cut)), 6) AS map, round((SELECT avg(r) FROM (SELECT max(recall) AS r FROM b GROUP BY cut)), 6) AS mar"""
+)
 def average_precision(spark, sf):
-    return evaluate.average_precision(evaluate.image_matches(fx.truth(spark, sf)))
+    e = fx.table(spark, sf, "events")
+    oks = F.when(F.col("event_id") % 7 != 0, (F.col("event_id") * 13 % 101).cast("double") / 100)
+    matches = e.select(F.col("user_id").alias("image"), ((F.col("event_id") * 37 % 1000).cast("double") / 1000).alias("score"), oks.alias("oks"), F.lit(40).cast("long").alias("truths"))
+    return _rounded(evaluate.average_precision(matches, _THRESHOLDS), "map", "mar")
+
+
+@query(
+    """SELECT p.image, p.individual, p.bodypart, p.x, t.gt_x FROM (SELECT * FROM truth WHERE frame % 5 <> 0) p LEFT JOIN (SELECT image, individual, bodypart, gt_x FROM truth WHERE frame % 3 <> 0 AND event_id % 7 <> 0) t
+    USING (image, individual, bodypart) WHERE p.image IN (SELECT image FROM truth WHERE frame % 3 <> 0 AND event_id % 7 <> 0)""",
+    "truth",
+)
+def prediction_truth_join(spark, sf):
+    rows = fx.truth(spark, sf)
+    predictions = rows.where("frame % 5 <> 0").select("image", "individual", "bodypart", "x")
+    truth = rows.where("frame % 3 <> 0 and event_id % 7 <> 0").select("image", "individual", "bodypart", "gt_x")
+    return evaluate.joined_truth(predictions, truth).select("image", "individual", "bodypart", "x", "gt_x")
+
+
+@query("SELECT n_name AS bodypart, s_acctbal AS rmse FROM supplier JOIN nation ON s_suppkey = n_nationkey WHERE s_suppkey % 4 <> 0")
+def named_keypoint_metrics(spark, sf):
+    s = fx.table(spark, sf, "supplier")
+    value = F.when(F.col("s_suppkey") % 4 == 0, F.lit(float("nan"))).otherwise(F.col("s_acctbal").cast("double"))
+    metrics = s.select(F.concat(F.lit("rmse_keypoint_"), F.col("s_suppkey").cast("string")).alias("name"), value.alias("value"))
+    metrics = metrics.unionByName(spark.range(1).select(F.lit("rmse").alias("name"), F.lit(1.0).alias("value")))
+    return evaluate.named_keypoint_metrics(metrics, fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("bodypart")))
+
+
+@query(
+    """SELECT 'best' AS wanted, n_name AS path FROM nation WHERE n_nationkey = 7 UNION ALL SELECT 'fallback', n_name FROM nation WHERE n_nationkey = (SELECT max(n_nationkey) FROM nation)
+    UNION ALL SELECT '-2', n_name FROM nation WHERE n_nationkey = (SELECT max(n_nationkey) - 1 FROM nation) UNION ALL SELECT '3', n_name FROM nation WHERE n_nationkey = 3"""
+)
+def chosen_snapshot(spark, sf):
+    s = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("epoch"), F.col("n_name").alias("path"), (F.col("n_nationkey") == 7).alias("best"))
+    none = s.withColumn("best", F.lit(False))
+    found = [("best", s, "best"), ("fallback", none, "best"), ("-2", s, -2), ("3", s, 3)]
+    parts = [evaluate.chosen_snapshot(t, i).select(F.lit(n).alias("wanted"), "path") for n, t, i in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+# ---- nested values and chunks
+
+
+@query(
+    """SELECT CAST(n_nationkey AS BIGINT) AS nation, CAST(k AS INTEGER) AS part, CAST(greatest(0, least(c, n_nationkey + 1 - s)) AS BIGINT) AS size, CASE WHEN s <= n_nationkey THEN CAST(s AS BIGINT) END AS "first"
+    FROM nation, (VALUES (0, 2, 0), (1, 3, 2), (2, 5, 5), (3, 4, 10)) v(k, c, s)"""
+)
+def ragged_slices(spark, sf):
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("nation"))
+    parts = nested.ragged_slices(F.sequence(F.lit(0).cast("long"), F.col("nation")), F.array(*(F.lit(c) for c in (2, 3, 5, 4))))
+    each = n.select("nation", F.posexplode(parts).alias("part", "items"))
+    return each.select("nation", "part", F.size("items").cast("long").alias("size"), F.get("items", F.lit(0)).alias("first"))
+
+
+@query(
+    """SELECT n_nationkey AS nation, CASE WHEN n_nationkey % 2 = 1 THEN 'own' ELSE 'base' END AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'late' ELSE 'base' END AS kind, n_regionkey AS region, 'none' AS missing FROM nation"""
+)
+def map_overrides(spark, sf):
+    n = fx.table(spark, sf, "nation")
+    base = F.create_map(F.lit("name"), F.lit("base"), F.lit("kind"), F.lit("base"), F.lit("region"), F.col("n_regionkey").cast("string"))
+    own = F.when(F.col("n_nationkey") % 2 == 1, F.create_map(F.lit("name"), F.lit("own")))
+    late = F.when(F.col("n_nationkey") % 3 == 0, F.create_map(F.lit("kind"), F.lit("late")))
+    merged = n.select(F.col("n_nationkey").alias("nation"), F.create_map(F.lit("settings"), nested.overridden(base, own, late)).alias("m"))
+    of = lambda k, d=None: nested.nested(F.col("m"), "settings", k, default=d)
+    return merged.select("nation", of("name").alias("name"), of("kind").alias("kind"), of("region").cast("int").alias("region"), of("absent", "none").alias("missing"))
+
+
+@query(
+    """SELECT source AS key, CAST(i - 1 AS BIGINT) AS line, value FROM (SELECT source, generate_subscripts(ls, 1) AS i, unnest(ls) AS value, len(ls) AS n
+    FROM (SELECT source, string_split(string_agg(text, '' ORDER BY doc_id), chr(10)) AS ls FROM documents WHERE source IS NOT NULL GROUP BY source)) WHERE i < n OR value <> ''"""
+)
+def joined_lines(spark, sf):
+    d = fx.table(spark, sf, "documents").where("source is not null and text is not null")
+    return texts.joined_lines(d.select(F.col("source").alias("key"), F.col("doc_id").alias("seq"), F.col("text").alias("value")))
+
+
+# ---- the extractions from end to end
+
+
+def _project(spark, sf) -> pipelines.Project:
+    c = fx.candidates(spark, sf)
+    path = F.concat(F.lit("/v/"), F.col("ord").cast("string"), F.lit(".mp4"))
+    nothing = fx.human(spark, sf).where("false").select(F.lit(0).cast("long").alias("video"), "image", "x", "y")
+    disk = c.where("existing > 0").select("video", F.explode(F.sequence(F.lit(1).cast("long"), F.col("existing").cast("long"))).alias("image"))
+    machine = c.where("ord % 7 = 0").select("video", F.lit(0).alias("iteration"), F.lit(1).cast("long").alias("image"))
+    counts = c.select("video", (F.col("ord") % 40 + 5).cast("long").alias("frame_count"))
+    return pipelines.Project(c.select("video", "ord", path.alias("path"), "group"), fx.pred(spark, sf), nothing, machine, nothing, disk, counts)
+
+
+@query("""SELECT video, 'ok' AS status, least(cap, ord % 40 + 5) AS written FROM candidates WHERE cap > 0 AND ord % 7 <> 0""", "candidates")
+def frame_extraction_run(spark, sf):
+    return pipelines.extract_frames(_project(spark, sf), ceiling=20).outcomes
+
+
+@query(
+    """SELECT c.o_orderkey AS video, CASE WHEN p.video IS NULL THEN 'not_analyzed' WHEN o.n IS NULL THEN 'error' ELSE 'ok' END AS status, least(coalesce(o.n, 0), 3) AS written FROM orders c
+    LEFT JOIN (SELECT DISTINCT video FROM pred) p ON p.video = c.o_orderkey LEFT JOIN (SELECT video, count(*) AS n FROM outliers GROUP BY video) o ON o.video = c.o_orderkey""",
+    "outliers",
+)
+def outlier_extraction_run(spark, sf):
+    return pipelines.extract_outliers(_project(spark, sf), frames_per_video=3).outcomes
 
 
 @query("SELECT c_nationkey AS project, count(DISTINCT c_custkey % 3) = 1 AS fixed FROM customer GROUP BY c_nationkey")

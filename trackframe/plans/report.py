@@ -43,5 +43,16 @@ class SplitMetrics:
         return f"{self.split}: {self.images:,} images, {self.rmse_px:.2f} px ({self.rmse_px_above:.2f} px above the cutoff)"
 
 
+def plan_lines(coverage: list, videos: int, picks: int) -> list[str]:
+    """What a run is about to do: the whole, then its groups by falling gain and name."""
+    lines = [f"{picks:,} frames of {videos:,} videos"]
+    return lines + [f"{c['group']}: {c['existing']:,} + {c['projected'] - c['existing']:,} frames, {c['added']} videos" for c in sorted(coverage, key=lambda c: (-c["added"], c["group"]))]
+
+
+def failure_lines(outcomes: list) -> list[str]:
+    """One line for each video that gave no frames, by name."""
+    return [f"{o['video']}: {o['status'].replace('_', ' ')}" for o in sorted(outcomes, key=lambda o: str(o["video"])) if o["status"] != "ok"]
+
+
 def describe_gap(train: SplitMetrics, test: SplitMetrics) -> str:
     return f"gap {test.rmse_px - train.rmse_px:+.2f} px"

@@ -94,7 +94,7 @@ def resolved_outputs(videos: DataFrame, listing: DataFrame, scorer: str) -> Data
     # a name begins with a stem and the scorer wherever the scorer stands in it, so names are keyed by what comes before each place
     times = F.size(F.split("name", re.escape(scorer))) - 1
     names = listing.select("name").where(F.col("name").endswith(".h5")).withColumn("k", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
-    names = names.select("name", F.substring_index("name", scorer, F.col("k")).alias("stem"))
+    names = names.select("name", F.call_function("substring_index", F.col("name"), F.lit(scorer), F.col("k")).alias("stem"))
     found = videos.select("stem").join(names, "stem", "left")
     exact = F.max(F.when(F.col("name") == F.concat("stem", F.lit(f"{scorer}.h5")), F.col("name")))
     return found.groupBy("stem").agg(F.coalesce(exact, F.max("name")).alias("output"))

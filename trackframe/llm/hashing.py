@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 U64 = np.uint64
+BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C17
 _rng = np.random.default_rng(20_240_601)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=U64)
@@ -47,12 +50,31 @@ def word_and_prefix_hashes(text: str | None, prefix: int, breaks: np.ndarray = _
     return word_and_part_hashes(text, prefix, True, breaks)
 
 
+def _blocks(data: np.ndarray, breaks: np.ndarray) -> Iterator[np.ndarray]:
+    """Parts of `data` of about `BLOCK` bytes that end at breaks, so that memory doesn't grow with a text's length."""
+    at = 0
+    while at < len(data):
+        end = min(at + BLOCK, len(data))
+        while end < len(data):
+            stop = np.flatnonzero(breaks[data[end : end + BLOCK]])
+            end = min(end + (int(stop[0]) if len(stop) else BLOCK), len(data))
+            if len(stop):
+                break
+        yield data[at:end]
+        at = end
+
+
 def word_and_part_hashes(text: str | None, size: int = 0, first: bool = True, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words, between the bytes marked in `breaks`, and of their first (or last) `size` bytes: polynomial hashes
-    from one prefix sum over the bytes."""
+    from one prefix sum over the bytes of a block."""
     data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), dtype=np.uint8)
-    if not len(data):
+    parts = [_hashes(block, size, first, breaks) for block in _blocks(data, breaks)]
+    if not parts:
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=U64)
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _hashes(data: np.ndarray, size: int, first: bool, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate(([False], ~breaks[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]

@@ -7,9 +7,9 @@ its last two bytes. The model gives head words and buckets a probability after e
 word's share of its bucket is its smoothed count over that of all words of the bucket, with one place in each for words never
 seen. So the model's probabilities of all words sum to at most one, unseen words included.
 
-Training: all training documents, repeated ones as often as they occur, are dealt to replicas of about `REPLICA_TOKENS`. In each
-of `ROUNDS` rounds every replica runs one pass of truncated backpropagation from the same weights, and the weights are averaged
-by Spark, so the driver holds one copy whatever the number of replicas.
+Training: one pass over all training documents, repeated ones as often as they occur. They are dealt to `ROUNDS` rounds and, within
+a round, to replicas of about `REPLICA_TOKENS`. In each round every replica runs truncated backpropagation over its documents from the
+same weights, and the weights are averaged by Spark, so the driver holds one copy whatever the number of replicas.
 
 Scoring: words with at least `COMMON` of all tokens (1 / COMMON words at most, which bounds what is broadcast) are looked up in
 place; the counts of rarer words are joined to the documents that hold them. Each document is scored from its first token to
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,17 +33,34 @@ from .hashing import U64, word_and_part_hashes
 from .recurrent import Shape, initial, score, train
 
 SHAPE = Shape(hidden=32, classes=32, width=64, tails=96)
-REPLICA_TOKENS, ROUNDS, RATE = 300_000, 3, 0.1
+REPLICA_TOKENS, ROUNDS, RATE = 400_000, 3, 0.1
 COMMON = 1e-6
 SUFFIX = 2
 END = 0  # the id of the end token, which also begins a document
 SLICE = 4096
+#: Bytes of text that are encoded or scored at once, a longer text by itself.
+GROUP = 4_000_000
 _LN10 = math.log(10)
 
 
-def _hashes(text: str | None, tails: int) -> tuple[np.ndarray, np.ndarray]:
-    words, suffixes = word_and_part_hashes(text, SUFFIX, False)
-    return words, (suffixes % U64(tails)).astype(np.int32)
+def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in order, in groups of about `GROUP` bytes."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text.as_py())
+        size += len(group[-1] or "") + 100
+        if size >= GROUP:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _hashes(texts: list[str | None], tails: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' hashes and tail buckets of all texts, and the numbers of words."""
+    found = [word_and_part_hashes(t, SUFFIX, False) for t in texts]
+    words, suffixes = (np.concatenate(c) for c in zip(*found, strict=True))
+    return words, (suffixes % U64(tails)).astype(np.int32), np.array([len(w) for w, _ in found])
 
 
 def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
@@ -50,18 +68,20 @@ def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = [_hashes(t.as_py(), buckets) for t in batch.column(0)]
-            words, tails = (np.concatenate(c) for c in zip(*found, strict=True))
-            names, first, n = np.unique(words, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*names.view(np.int64).tolist(), None], pa.int64()), pa.array(np.append(tails[first], 0).astype(np.int32)),
-                    pa.array(np.append(n, batch.num_rows).astype(np.int64)),
-                ],
-                names=["hash", "tail", "n"],
-            )
+            for group in _groups(batch.column(0)):
+                words, tails, _ = _hashes(group, buckets)
+                coded = pa.array(words.view(np.int64)).dictionary_encode()
+                at, names = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+                of = np.zeros(len(names), dtype=np.int32)
+                of[at] = tails
+                n = np.bincount(at, minlength=len(names))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.array(names, pa.int64()), pa.nulls(1, pa.int64())]), pa.array(np.append(of, 0).astype(np.int32)),
+                        pa.array(np.append(n, len(group)).astype(np.int64)),
+                    ],
+                    names=["hash", "tail", "n"],
+                )
 
     parts = map_arrow(docs.select(text_col), run, "hash long, tail int, n long")
     return parts.groupBy("hash", "tail").agg(F.sum("n").alias("n"))
@@ -70,27 +90,35 @@ def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 class Model:
     """names, counts, heads: the common words' hashes (sorted), counts and head ids (0: none). tails: log10 of the buckets'
     smoothed shares. tokens and types: N and V of the training tokens, the end token among them; ends: its count. trained: how
-    many tokens the replicas went over in each round."""
+    many tokens the replicas went over in each round. rare: the counts of all other words, as a table; it stays on the driver."""
 
     def __init__(self, shape, names, counts, heads, tails, tokens, types, ends, weights):
         self.shape = shape
         self.names, self.counts, self.heads, self.tails = names, counts, heads, tails
         self.tokens, self.types, self.ends, self.weights = tokens, types, ends, weights
         self.trained: list[int] = []
+        self.rare: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rare": None}
 
     def log_share(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids with the end token, and for each word its hash, whether it is common, and its count if so."""
-        words, tails = _hashes(text, self.shape.tails)
-        known, counts, heads = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int32)
-        if len(self.names) and len(words):
-            at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
-            known = self.names[at] == words
-            counts, heads = np.where(known, self.counts[at], 0), np.where(known, self.heads[at], 0)
-        ids = np.append(np.where(heads > 0, heads, self.shape.head + tails), END).astype(np.int32)
-        return ids, words, known, counts
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of each text with the end token; for the words of all texts their hashes, whether they are common, and their counts if so;
+        and where each text's words begin and end."""
+        words, tails, lengths = _hashes(texts, self.shape.tails)
+        found = pc.index_in(pa.array(words.view(np.int64)), value_set=pa.array(self.names.view(np.int64)))
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        at = found.fill_null(0).to_numpy()
+        none = np.zeros(1, dtype=np.int32)
+        counts = np.where(known, np.append(self.counts, none)[at], 0)
+        heads = np.where(known, np.append(self.heads, none)[at], 0)
+        ids = np.where(heads > 0, heads, self.shape.head + tails).astype(np.int32)
+        edges = np.concatenate(([0], np.cumsum(lengths)))
+        end = np.array([END], dtype=np.int32)
+        return [np.concatenate((ids[a:b], end)) for a, b in zip(edges, edges[1:], strict=False)], words, known, counts, edges
 
 
 def _pack(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -105,6 +133,27 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
+SUMS = "slice int, v array<double>, n long, seen long"
+
+
+def _sums(slices: list[int], values: list, n: list[int], seen: list[int]) -> pa.RecordBatch:
+    """Sums of weights by slice, with the numbers of replicas and tokens in them."""
+    arrays = [pa.array(slices, pa.int32()), pa.array(values, pa.list_(pa.float64())), pa.array(n, pa.int64()), pa.array(seen, pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, names=["slice", "v", "n", "seen"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each slice of the partition, whatever the number of replicas."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for at, v, n, seen in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            own = v.values.to_numpy()
+            old = sums.get(at, (0.0, 0, 0))
+            sums[at] = (old[0] + own, old[1] + n, old[2] + seen)
+    if sums:
+        yield _sums(list(sums), [v[0].tolist() for v in sums.values()], [v[1] for v in sums.values()], [v[2] for v in sums.values()])
+
+
 def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_common: float = COMMON, replica_tokens: int = REPLICA_TOKENS) -> Model:
     """Learns from all rows of `docs`; null texts are empty documents."""
     spark = docs.sparkSession
@@ -134,16 +183,18 @@ def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [shipped.value.encode(t.as_py())[0].tobytes() for t in batch.column(2)]
+            ids = [one.tobytes() for group in _groups(batch.column(2)) for one in shipped.value.encode(group)[0]]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["replica", "hash", "ids"])
 
     # dealt by place as well as by text, so that the copies of a text don't meet in one replica; a replica is a run of one file
-    replicas = max(1, round(tokens / replica_tokens))
+    replicas = max(1, round(tokens / ROUNDS / replica_tokens))
     dealt = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"), F.monotonically_increasing_id().alias("place"), F.col(text_col).alias("text"))
-    dealt = dealt.select(F.pmod(F.xxhash64("hash", "place"), F.lit(replicas)).cast("int").alias("replica"), "hash", "text")
+    turn = F.pmod(F.xxhash64("hash", "place"), F.lit(replicas * ROUNDS)).cast("int")
+    dealt = dealt.select(turn.alias("replica"), "hash", "text")
     dealt = map_arrow(dealt, encoded, "replica int, hash long, ids binary")
-    dealt = stage(dealt.repartition(replicas, "replica").sortWithinPartitions("replica", "hash"), "training-documents")
+    dealt = stage(dealt.repartition(replicas, F.col("replica") % replicas).sortWithinPartitions("replica", "hash"), "training-documents")
     shipped.unpersist()
+    size = sum(v.size for v in weights.values())
     for k in range(ROUNDS):
         shipped = spark.sparkContext.broadcast(model.weights)
 
@@ -168,22 +219,17 @@ def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_
             if documents:
                 total, n = total + trained(at, documents), n + 1
                 slices = [total[i : i + SLICE].tolist() for i in range(0, len(total), SLICE)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(range(len(slices)), pa.int32()), pa.array(slices, pa.list_(pa.float64())), pa.array([n] * len(slices), pa.int64()),
-                        pa.array([seen] * len(slices), pa.int64()),
-                    ],
-                    names=["slice", "v", "n", "seen"],
-                )
-
-        parts = map_arrow(dealt.select("replica", "ids"), replica, "slice int, v array<double>, n long, seen long")
-        parts = parts.select("slice", "n", "seen", F.posexplode("v").alias("i", "v")).groupBy("slice", "i")
-        parts = parts.agg((F.sum("v") / F.sum("n")).alias("v"), F.sum("seen").alias("seen")).toArrow()
-        if parts.num_rows:
-            flat = np.zeros(sum(v.size for v in weights.values()))
-            flat[parts["slice"].to_numpy().astype(np.int64) * SLICE + parts["i"].to_numpy()] = parts["v"].to_numpy()
+                yield _sums(list(range(len(slices))), slices, [n] * len(slices), [seen] * len(slices))
+
+        own = dealt.where(F.floor(F.col("replica") / replicas) == k).select("replica", "ids")
+        parts = map_arrow(own, replica, SUMS)
+        whole = map_arrow(parts.repartition(min(replicas, -(-size // SLICE)), "slice"), _added, SUMS).toArrow()
+        if whole.num_rows:
+            flat = np.zeros(size)
+            for at, v, n in zip(whole["slice"].to_pylist(), whole["v"].to_pylist(), whole["n"].to_pylist(), strict=True):
+                flat[at * SLICE : at * SLICE + len(v)] = np.array(v) / n
             model.weights = _unpack(flat, weights)
-            model.trained.append(parts["seen"][0].as_py())
+            model.trained.append(whole["seen"][0].as_py())
         shipped.unpersist()
     model.rare = words.where(F.col("n") < max(1.0, share_of_common * tokens)).select("hash", "n")
     return model
@@ -195,35 +241,32 @@ def lm_score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[
     Tokens are the words (A to Z lower-cased) and one end; a null text has the end only. If nothing was learned every token has
     the share of an unseen one in base_score. Each row is scored by itself, repeated rows alike; an empty table gives no rows."""
     spark = docs.sparkSession
-    rare, model.rare = model.rare, None
     shipped = spark.sparkContext.broadcast(model)
-    model.rare = rare
     names = docs.select(*keep).columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            documents = []
-            for text in batch.column(len(names)):
-                ids, words, known, counts = m.encode(text.as_py())
-                documents.append(ids)
+            at = 0
+            for group in _groups(batch.column(len(names))):
+                documents, words, known, counts, edges = m.encode(group)
                 shares = m.log_share(counts)
-                inside = ids[:-1] >= m.shape.head
-                tails = np.bincount(ids[:-1][inside] - m.shape.head, minlength=m.shape.tails)
-                rare_words, n = np.unique(words[~known], return_counts=True)
-                values = (
-                    len(ids), int(known.sum()) + (m.ends > 0), float(shares[known].sum() + m.log_share(np.array([m.ends]))[0]),
-                    float(shares[known & inside].sum() - tails @ m.tails), rare_words.view(np.int64), n.astype(np.int64),
-                )
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-            found = score(m.shape, m.weights, documents, END) / _LN10
-            longs = pa.list_(pa.int64())
-            arrays = [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), longs, longs), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], *arrays, pa.array(found, pa.float64())], names=[*names, "n_tokens", "known", "base", "tail", "hashes", "times", "model"]
-            )
+                inside = np.concatenate([d[:-1] for d in documents]) if len(words) else np.zeros(0, dtype=np.int32)
+                tail_shares = np.where(inside >= m.shape.head, m.tails[np.maximum(inside - m.shape.head, 0)], 0.0)
+                base = np.add.reduceat(np.append(np.where(known, shares, 0.0), 0.0), edges[:-1]) * (np.diff(edges) > 0)
+                tail = np.add.reduceat(np.append(np.where(known & (inside >= m.shape.head), shares, 0.0) - tail_shares, 0.0), edges[:-1]) * (np.diff(edges) > 0)
+                sure = np.add.reduceat(np.append(known, False).astype(np.int64), edges[:-1]) * (np.diff(edges) > 0)
+                rare = [np.unique(words[a:b][~known[a:b]], return_counts=True) for a, b in zip(edges, edges[1:], strict=False)]
+                found = score(m.shape, m.weights, documents, END) / _LN10
+                longs = pa.list_(pa.int64())
+                arrays = [
+                    pa.array([len(d) for d in documents], pa.int64()), pa.array(sure + (m.ends > 0), pa.int64()),
+                    pa.array(base + m.log_share(np.array([m.ends]))[0], pa.float64()), pa.array(tail, pa.float64()),
+                    pa.array([w.view(np.int64) for w, _ in rare], longs), pa.array([n.astype(np.int64) for _, n in rare], longs), pa.array(found, pa.float64()),
+                ]
+                own = [c.slice(at, len(group)) for c in batch.columns[: len(names)]]
+                at += len(group)
+                yield pa.RecordBatch.from_arrays([*own, *arrays], names=[*names, "n_tokens", "known", "base", "tail", "hashes", "times", "model"])
 
     schema = docs.select(
         *keep, *(F.lit(0).cast("long").alias(c) for c in ("n_tokens", "known")), *(F.lit(0.0).alias(c) for c in ("base", "tail")),

@@ -8,6 +8,8 @@ state carried from window to window and reset where a document begins; scoring c
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 F32 = np.float32
@@ -65,9 +67,15 @@ def run_window(p: dict[str, np.ndarray], ids: np.ndarray, state: np.ndarray, res
     return states
 
 
-def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bounded(weights: np.ndarray, constants: np.ndarray) -> bool:
+    """Whether no logit can leave what exp holds: states lie between -1 and 1."""
+    return float(np.abs(weights).sum(axis=-2).max() + np.abs(constants).max()) < 80
+
+
+def _softmax_loss(logits: np.ndarray, target: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log probabilities (natural) of the targets, with the exponentials and their sums."""
-    logits -= logits.max(axis=1, keepdims=True)
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
     own = logits[np.arange(len(target)), target]
     e = np.exp(logits)
     total = e.sum(axis=1)
@@ -77,7 +85,9 @@ def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, n
 def outputs(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probabilities of `targets` after `states` (rows), and the gradient of the states if `gradients` is to be filled."""
     outer = np.where(targets < shape.head, targets // shape.width, targets - shape.head + shape.classes)
-    found, e, total = _softmax_loss(states @ p["c"] + p["cb"], outer)
+    logits = states @ p["c"]
+    logits += p["cb"]
+    found, e, total = _softmax_loss(logits, outer, _bounded(p["c"], p["cb"]))
     back = None
     if gradients is not None:
         e /= total[:, None]
@@ -87,12 +97,13 @@ def outputs(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, grad
         back = e @ p["c"].T
     order = np.argsort(outer, kind="stable")
     ends = np.searchsorted(outer[order], np.arange(shape.classes + 1))
+    bounded = _bounded(p["w"], p["wb"])
     for k in range(shape.classes):
         at = order[ends[k] : ends[k + 1]]
         if not len(at):
             continue
         own, inner = states[at], targets[at] - k * shape.width
-        more, e, total = _softmax_loss(own @ p["w"][k] + p["wb"][k], inner)
+        more, e, total = _softmax_loss(own @ p["w"][k] + p["wb"][k], inner, bounded)
         found[at] += more
         if gradients is not None:
             e /= total[:, None]
@@ -103,7 +114,7 @@ def outputs(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, grad
     return found, back
 
 
-def train(shape: Shape, p: dict[str, np.ndarray], memory: dict[str, np.ndarray], documents: list[np.ndarray], begin: int, rate: float = 0.1, streams: int = 64, seed: int = 0) -> float:
+def train(shape: Shape, p: dict[str, np.ndarray], memory: dict[str, np.ndarray], documents: list[np.ndarray], begin: int, rate: float = 0.1, streams: int = 128, seed: int = 0) -> float:
     """One pass over documents (ids that end with `begin`), in place, by Adagrad; memory holds its sums of squares. Returns the
     mean log probability of a token."""
     if not documents:
@@ -151,27 +162,45 @@ def train(shape: Shape, p: dict[str, np.ndarray], memory: dict[str, np.ndarray],
     return seen / tokens.size
 
 
+def dealt(lengths: np.ndarray, streams: int) -> list[list[int]]:
+    """Documents dealt to streams, the longest first and each to the stream that is shortest so far; longest stream first."""
+    heap = [(0, k) for k in range(min(streams, len(lengths)))]
+    held: list[list[int]] = [[] for _ in heap]
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        total, k = heapq.heappop(heap)
+        held[k].append(i)
+        heapq.heappush(heap, (total + int(lengths[i]), k))
+    return sorted(held, key=lambda own: -sum(int(lengths[i]) for i in own))
+
+
 def score(shape: Shape, p: dict[str, np.ndarray], documents: list[np.ndarray], begin: int, streams: int = 512) -> np.ndarray:
-    """Natural log probability of each document (ids that end with `begin`), whole, with the state carried across windows."""
+    """Natural log probability of each document (ids that end with `begin`), whole, with the state carried across windows. Documents
+    follow one another in streams, with the state zeroed where one begins, so they don't depend on each other."""
     result = np.zeros(len(documents))
-    order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
-    for at in range(0, len(order), streams):
-        group = order[at : at + streams]
-        lengths = np.array([len(documents[i]) for i in group])
-        state, totals = np.zeros((len(group), shape.hidden), dtype=F32), np.zeros(len(group))
-        last = np.full(len(group), begin, dtype=np.int32)
-        for start in range(0, int(lengths[0]), WINDOW):
-            live = int(np.searchsorted(-lengths, -start, side="left"))  # documents longer than `start`
-            steps = min(WINDOW, int(lengths[0]) - start)
-            targets = np.full((steps, live), begin, dtype=np.int32)
-            for k in range(live):
-                part = documents[group[k]][start : start + steps]
-                targets[: len(part), k] = part
-            ids = np.vstack((last[None, :live], targets[:-1]))
-            states = run_window(p, ids, state[:live])
-            state, last = states[-1], targets[-1]
-            t, k = np.nonzero(start + np.arange(steps)[:, None] < lengths[None, :live])
-            found, _ = outputs(shape, p, states[t, k], targets[t, k])
-            totals[:live] += np.bincount(k, weights=found, minlength=live)
-        result[group] = totals
+    if not documents:
+        return result
+    held = dealt(np.array([len(d) for d in documents]), streams)
+    lines = [np.concatenate([documents[i] for i in own]) for own in held]
+    owners = [np.repeat(own, [len(documents[i]) for i in own]) for own in held]
+    lengths = np.array([len(x) for x in lines])
+    state, last = np.zeros((len(lines), shape.hidden), dtype=F32), np.full(len(lines), begin, dtype=np.int32)
+    for start in range(0, int(lengths[0]), WINDOW):
+        live = int(np.searchsorted(-lengths, -start, side="left"))  # streams longer than `start`
+        steps = min(WINDOW, int(lengths[0]) - start)
+        targets = np.full((steps, live), begin, dtype=np.int32)
+        own = np.full((steps, live), -1)
+        for k in range(live):
+            part = lines[k][start : start + steps]
+            targets[: len(part), k] = part
+            own[: len(part), k] = owners[k][start : start + steps]
+        ids = np.vstack((last[None, :live], targets[:-1]))
+        states = run_window(p, ids, state[:live], ids == begin)
+        state, last = states[-1], targets[-1]
+        at = np.flatnonzero(own.reshape(-1) >= 0)
+        every = len(at) == own.size
+        seen, aims, whose = states.reshape(-1, shape.hidden), targets.reshape(-1), own.reshape(-1)
+        if not every:
+            seen, aims, whose = seen[at], aims[at], whose[at]
+        found, _ = outputs(shape, p, seen, aims)
+        result += np.bincount(whose, weights=found, minlength=len(result))
     return result

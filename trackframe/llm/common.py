@@ -20,10 +20,13 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset (as in tests) a new
-    folder, which is then also set as the session's checkpoint folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset (as in tests) a new folder of this
+    machine, which is then also set as the session's checkpoint folder. On a cluster, whose executors wouldn't share that, it is an
+    error."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="trackframe-")
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir() or path

@@ -1,19 +1,17 @@
 """Best-fit packing of documents into sequences, bulk-synchronously.
 
 Documents are tokenised, documents longer than a sequence are cut into full pieces behind a shorter first one, and what is
-shorter than a sequence is packed best-fit, the longest first. Full pieces are sequences of their own and need no place among others.
-
-The state of the packing are two tables sorted by size: the waiting documents as runs of ranks of one length, and the gaps as runs of
-sequences of one gap. Rows of a run are interchangeable, so the tables have at most `capacity` lengths and gaps however many documents
-there are, and both stay in Spark. A superstep takes the documents of a class of lengths (the upper half of what is left), lets all of
-them look up their successor, the smallest gap that holds them, and resolves conflicts by rank: the longer document goes first, the
-loser sweeps on to the next larger gap that is free, and every gap takes one document. Since sizes are sorted, that is a matching of
-brackets along the line of sizes, in which gaps open and documents close: on each level of nesting gaps and documents alternate, so one
-window finds all partners at once. Then gaps are updated, and supersteps repeat until no document of the class has a gap; those left
-open sequences of their own. Each superstep is written to the shared folder.
-
-Ranks and places of the documents themselves are found by joins at the end, and a length that a third of all rows have is ranked in
-lanes.
+shorter than a sequence is packed best-fit in decreasing length. Lengths and gaps are whole numbers of at most `capacity`, so
+a range sort puts each into a bucket of its own and ranks it there. One superstep lets all waiting documents of a length look
+up their successor, the smallest gap that holds them; where documents compete for the gaps of a bucket their ranks decide,
+every gap takes one document at most, gaps are updated, and those without a gap sweep on to the next successor, or open
+sequences of their own when there is none.
+
+Since rows of a bucket are interchangeable, a superstep is decided by the counts of the buckets (at most `capacity` of each
+kind). Only those counts reach the driver; its decisions are intervals (length, ranks, sequences, offset), whose number is
+bounded by the capacity and not by the number of documents. Ranks and lookups of rows stay distributed, and a length that
+holds a third of all rows is ranked in lanes. Full pieces are sequences of their own and need no rank. (The sweeps were also tried as
+Spark jobs over the tables of buckets, which the README tells of: they took up to a hundred supersteps and the driver's memory.)
 
 The identifiers are those of the vocabulary file: tiktoken reads the same vocabulary as ranks and yields the same ids, the string
 of the special token included, which becomes that token.
@@ -23,13 +21,14 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,112 +79,43 @@ def tokenized_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int,
     return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), pieces, schema)
 
 
-#: A run is (kind, size, first, n, base, sign, offset). kind 'wait': documents of length `size`, ranks first to first + n - 1. 'gap':
-#: sequences first to first + n - 1 with `size` places left. 'place': documents of length `size`, whose sequence is base + sign * rank.
-RUN = ("kind", "size", "first", "n", "base", "sign", "offset")
-
-
-def _runs(df: DataFrame, kind: str, size, first, n, base=0, sign=0, offset=0) -> DataFrame:
-    column = lambda c: (c if isinstance(c, Column) else F.lit(c)).cast("long")
-    return df.select(F.lit(kind).alias("kind"), *(column(c).alias(k) for k, c in zip(RUN[1:], (size, first, n, base, sign, offset), strict=True))).where("n > 0")
-
-
-def _written(runs: DataFrame, name: str) -> DataFrame:
-    """The runs as one file; there are few."""
-    return stage(runs.coalesce(1), name)
-
-
-def sweep(waiting: DataFrame, gaps: DataFrame) -> DataFrame:
-    """(length, rank0, gap, top, low, high): the documents of a length that get gaps of a size. The document of rank rank0 + k gets the gap
-    whose number among those of its size, from 0, is top - k; the numbers are low to high - 1. waiting and gaps are runs."""
-    whole = W.partitionBy("whole").orderBy(F.col("size").desc(), "closes")
-    opening = gaps.groupBy("size").agg(F.sum("n").alias("n")).select("size", "n", F.lit(0).alias("closes"), F.lit(0).cast("long").alias("rank0"))
-    closing = waiting.select("size", "n", F.lit(1).alias("closes"), F.col("first").alias("rank0"))
-    line = opening.unionByName(closing).withColumn("whole", F.lit(1)).withColumn("sum", F.sum(F.when(F.col("closes") == 1, -F.col("n")).otherwise(F.col("n"))).over(whole))
-    # documents without a gap close nothing: the level never falls below 0
-    line = line.withColumn("level", F.col("sum") - F.least(F.lit(0), F.min("sum").over(whole)))
-    line = line.withColumn("before", F.coalesce(F.lag("level").over(whole), F.lit(0))).withColumn("place", F.row_number().over(whole)).drop("sum")
-    spans = line.select("*", F.least("level", "before").alias("low"), F.greatest("level", "before").alias("high")).where("low < high")
-    cuts = spans.select(F.explode(F.array("low", "high")).alias("x")).distinct().withColumn("whole", F.lit(1))
-    cuts = cuts.select("x", F.lead("x").over(W.partitionBy("whole").orderBy("x")).alias("y")).where("y is not null")
-    parts = spans.join(F.broadcast(cuts), (F.col("x") >= F.col("low")) & (F.col("y") <= F.col("high")))
-    level = W.partitionBy("x").orderBy("place")
-    last = lambda c: F.lag(c).over(level).alias(f"gap_{c}")
-    met = parts.select("x", "y", "size", "closes", "rank0", "high", *(last(c) for c in ("size", "low"))).where("closes = 1")
-    pairs = met.groupBy("size", "rank0", "high", "gap_size", "gap_low").agg(F.min("x").alias("x"), F.max("y").alias("y"))
-    return pairs.select(
-        F.col("size").alias("length"), "rank0", F.col("gap_size").alias("gap"), (F.col("high") - 1 - F.col("gap_low")).alias("top"),
-        (F.col("x") - F.col("gap_low")).alias("low"), (F.col("y") - F.col("gap_low")).alias("high"),
-    )
-
-
-def superstep(state: DataFrame, least: int, capacity: int, name: str) -> tuple[DataFrame, int]:
-    """One superstep over the documents longer than `least`: the runs after it, with its places, and how many documents it placed."""
-    waiting = state.where((F.col("kind") == "wait") & (F.col("size") > least))
-    gaps = state.where((F.col("kind") == "gap") & (F.col("size") > least))
-    pairs = stage(sweep(waiting, gaps).coalesce(1), f"{name}-pairs")
-    placed = pairs.agg(F.coalesce(F.sum(F.col("high") - F.col("low")), F.lit(0))).first()[0]
-    if not placed:
-        return state, 0
-    numbered = gaps.withColumn("at", F.sum("n").over(W.partitionBy("size").orderBy("first")) - F.col("n"))
-    # the gaps of a size that a pair takes, run by run
-    cut = numbered.join(F.broadcast(pairs), F.col("size") == F.col("gap")).select("*", F.greatest("at", "low").alias("x"), F.least(F.col("at") + F.col("n"), F.col("high")).alias("y")).where("x < y")
-    base = F.col("first") - F.col("at") + F.col("top") + F.col("rank0")
-    done = _runs(cut, "place", F.col("length"), F.col("rank0") + F.col("top") - F.col("y") + 1, F.col("y") - F.col("x"), base, -1, capacity - F.col("gap"))
-    fresh = _runs(cut.where("gap > length"), "gap", F.col("gap") - F.col("length"), F.col("first") + F.col("x") - F.col("at"), F.col("y") - F.col("x"))
-    taken = F.broadcast(pairs.groupBy("gap").agg(F.min("low").alias("left")))
-    kept = _runs(numbered.join(taken, F.col("size") == F.col("gap"), "left"), "gap", F.col("size"), F.col("first"), F.least(F.col("n"), F.coalesce(F.col("left") - F.col("at"), F.col("n"))))
-    used = F.broadcast(pairs.groupBy("length").agg(F.sum(F.col("high") - F.col("low")).alias("used")))
-    m = F.coalesce("used", F.lit(0))
-    rest = _runs(waiting.join(used, F.col("size") == F.col("length"), "left"), "wait", F.col("size"), F.col("first") + m, F.col("n") - m)
-    others = state.where((F.col("kind") != "place") & (F.col("size") <= least))
-    return _written(done.unionByName(fresh).unionByName(kept).unionByName(rest).unionByName(others), name), int(placed)
-
-
-def opened(state: DataFrame, least: int, capacity: int, sequences: int, name: str) -> tuple[DataFrame, int, int]:
-    """Waiting documents longer than `least` open sequences, as many of a length in each as fit. What is left of each length would leave
-    a sequence partly filled: only the longer half of these open one, so that the others can take its gap in the next superstep.
-    Returns the runs after it, the number of sequences then and how many documents it placed."""
-    waiting = state.where((F.col("kind") == "wait") & (F.col("size") > least))
-    each = F.floor(F.lit(capacity) / F.col("size")).cast("long")
-    new = waiting.withColumn("each", each).withColumn("full", F.floor(F.col("n") / F.col("each"))).withColumn("left", F.col("n") % F.col("each")).withColumn("whole", F.lit(1))
-    longest = W.partitionBy("whole").orderBy(F.col("size").desc(), "first")
-    partial = (F.col("left") > 0).cast("long")
-    new = new.withColumn("opens", 2 * (F.sum(partial).over(longest) - 1) < F.sum(partial).over(W.partitionBy("whole")))
-    new = new.withColumn("rest", F.when(F.col("opens"), F.col("left")).otherwise(0)).withColumn("count", F.col("full") + (F.col("rest") > 0).cast("long"))
-    new = stage(new.withColumn("seq", F.sum("count").over(longest) - F.col("count") + sequences).coalesce(1), f"{name}-new")
-    layers = new.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("each") - 1)).alias("k"))
-    rank = F.col("first") + F.col("k") * F.col("full") + F.least("k", "rest")
-    done = _runs(layers, "place", F.col("size"), rank, F.col("full") + (F.col("k") < F.col("rest")).cast("long"), F.col("seq") - rank, 1, F.col("k") * F.col("size"))
-    gaps = _runs(new, "gap", capacity - F.col("each") * F.col("size"), F.col("seq"), F.col("full"))
-    part = _runs(new.where("rest > 0"), "gap", capacity - F.col("rest") * F.col("size"), F.col("seq") + F.col("full"), 1)
-    wait = _runs(new, "wait", F.col("size"), F.col("first") + F.col("n") - F.col("left"), F.col("left") - F.col("rest"))
-    others = state.where((F.col("kind") == "gap") | ((F.col("kind") == "wait") & (F.col("size") <= least)))
-    runs = _written(done.unionByName(gaps.unionByName(part).where("size > 0")).unionByName(wait).unionByName(others), name)
-    total, placed = new.agg(F.sum("count"), F.sum(F.col("n") - F.col("left") + F.col("rest"))).first()
-    return runs, sequences + int(total), int(placed)
-
-
-def best_fit(waiting: DataFrame, capacity: int) -> tuple[DataFrame, int]:
-    """The places of all documents of `waiting` (length, n), as runs of kind 'place', and the number of sequences."""
-    state = _written(_runs(waiting, "wait", F.col("length"), 0, F.col("n")), "pack-start")
-    places, sequences, step, most = [], 0, 0, capacity
-    while most > 0:
-        least = most // 2
-        left = state.where((F.col("kind") == "wait") & (F.col("size") > least)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        fitting = sequences > 0
+def best_fit(waiting: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """Supersteps over bucket counts. waiting: length -> documents. Returns intervals (length, first rank, end rank, first
+    sequence, offset) and the number of sequences."""
+    gaps: list[deque[tuple[int, int]]] = [deque() for _ in range(capacity + 1)]  # by gap: (first sequence, count)
+    plan, sequences = [], 0
+    for length in sorted(waiting, reverse=True):
+        rank, left = 0, waiting[length]
         while left:
-            placed = 0
-            if fitting:
-                state, placed = superstep(state, least, capacity, f"pack-{step}")
-            if not placed:
-                state, sequences, placed = opened(state, least, capacity, sequences, f"pack-{step}")
-            fitting, left, step = True, left - placed, step + 1
-            places.append(state.where("kind = 'place'"))
-        most = least
-    if not places:
-        return state.where("kind = 'place'"), 0
-    return _written(reduce(DataFrame.unionByName, places), "pack-places"), sequences
+            taken: list[tuple[int, int, int]] = []  # gap, sequences: each gap takes one document a superstep
+            successor = length
+            while left and successor <= capacity:
+                while left and gaps[successor]:
+                    first, count = gaps[successor].popleft()
+                    n = min(left, count)
+                    if n < count:
+                        gaps[successor].appendleft((first + n, count - n))
+                    plan.append((length, rank, rank + n, first, capacity - successor))
+                    taken.append((successor - length, first, n))
+                    rank, left = rank + n, left - n
+                successor += 1
+            for gap, first, n in taken:
+                gaps[gap].append((first, n))
+            if not taken and left:
+                each = capacity // length
+                opened, rest = divmod(left, each)
+                for k in range(each):
+                    if n := opened + (k < rest):
+                        # the last of the new sequences may be partly filled: it is first in none but the leading layers
+                        plan.append((length, rank, rank + n, sequences, k * length))
+                        rank += n
+                if opened:
+                    gaps[capacity - each * length].append((sequences, opened))
+                if rest:
+                    gaps[capacity - rest * length].append((sequences + opened, 1))
+                sequences += opened + (rest > 0)
+                left = 0
+    return plan, sequences
 
 
 def pack(
@@ -196,24 +126,26 @@ def pack(
 
     A null text is empty: one piece that holds the end id. Null and repeated ids are packed like any other, each row as a
     document of its own; ids that are no whole numbers raise an error. An empty table gives no rows. Columns other than id and text
-    play no part. A piece that fills a sequence has a negative sequence_id. There are `capacity` supersteps at most for each class of
-    lengths, and a few in practice."""
+    play no part. A piece that fills a sequence has a negative sequence_id."""
+    spark = docs.sparkSession
     pieces = stage(tokenized_pieces(docs, id_col, text_col, capacity, end_id, vocabulary, with_ids), "pieces")
     more = ["ids"] if with_ids else []
-    own = -1 - F.monotonically_increasing_id()
-    full = pieces.withColumn("sequence_id", own).where(F.col("length") == capacity)
+    full = pieces.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).where(F.col("length") == capacity)
     full = full.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.lit(0).cast("long").alias("offset"), *more)
-
-    lane = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(LANES)).cast("int")
-    short = pieces.where(F.col("length") < capacity).withColumn("lane", lane)
-    counts = short.groupBy("length", "lane").agg(F.count("*").alias("n"))
+    lane = F.pmod(F.xxhash64("doc_id", "start"), F.lit(LANES)).cast("int")
+    pieces = pieces.where(F.col("length") < capacity).withColumn("lane", lane)
+    counts = pieces.groupBy("length", "lane").agg(F.count("*").alias("n"))
     counts = stage(counts.withColumn("before", F.sum("n").over(W.partitionBy("length").orderBy("lane")) - F.col("n")), "piece-counts")
-    places, _ = best_fit(counts.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    waiting = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    plan, _ = best_fit(waiting, capacity)
+    intervals = spark.createDataFrame(plan, "length long, first long, end long, sequence0 long, offset long")
 
     within = F.row_number().over(W.partitionBy("length", "lane").orderBy("doc_id", "start", "ids_crc32")) - 1
-    ranked = short.withColumn("within", within).join(counts.drop("n"), ["length", "lane"])
+    ranked = pieces.withColumn("within", within).join(counts.drop("n"), ["length", "lane"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("within"))
-    here = F.broadcast(places.select("size", "first", (F.col("first") + F.col("n")).alias("end"), "base", "sign", F.col("offset").alias("at")))
-    placed = ranked.join(here, (F.col("length") == F.col("size")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
-    placed = placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("sign") * F.col("rank")).alias("sequence_id"), F.col("at").alias("offset"), *more)
-    return full.unionByName(placed)
+    here = (ranked["length"] == intervals["length"]) & (ranked["rank"] >= intervals["first"]) & (ranked["rank"] < intervals["end"])
+    placed = ranked.join(F.broadcast(intervals), here)
+    return full.unionByName(placed.select(
+        "doc_id", "piece", "start", ranked["length"], "ids_crc32", (F.col("sequence0") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset",
+        *more,
+    ))

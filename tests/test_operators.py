@@ -307,6 +307,34 @@ def test_matching_and_precision(spark):
     assert found["map"] > 0.95 and found.mar > 0.95
 
 
+def test_matching_runs_in_spark_and_equals_the_greedy_choice(spark):
+    random = np.random.default_rng(5)
+    schema = "image string, individual long, bodypart string, x double, y double, likelihood double, gt_x double, gt_y double, v int"
+    rows, odd = [], (None, NAN, float("inf"))
+    for image in range(60):
+        for who in range(image % 6):
+            for part in range(4):
+                if random.random() < 0.8:
+                    x, y, gx, gy = (float(v) if random.random() < 0.9 else odd[random.integers(3)] for v in random.integers(0, 30, 4))
+                    likelihood = float(random.integers(0, 3)) / 4 if random.random() < 0.8 else odd[random.integers(2)]
+                    rows.append((f"i{image}", who, f"b{part}", x, y, likelihood, gx, gy, int(random.integers(0, 3))))
+    found = evaluate.image_matches(spark.createDataFrame([*rows, ("i3", None, "b0", 1.0, 1.0, 0.9, 1.0, 1.0, 2)], schema))
+    assert "Python" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "Pandas" not in plan
+    got = {(r.image, r.individual): r for r in found.collect()}
+    assert set(got) == {(r[0], r[1]) for r in rows}
+    for image in {r[0] for r in rows}:
+        names = sorted({r[1] for r in rows if r[0] == image})
+        cells = {(r[1], r[2]): [NAN if v is None else v for v in r[3:]] for r in rows if r[0] == image}
+        own = [np.array([cells.get((n, f"b{k}"), [NAN] * 6) for k in range(4)]) for n in names]
+        truth = [c[:, 3:] for c in own if ((c[:, 5] > 0) & np.isfinite(c[:, 3:5]).all(axis=1)).any()]
+        means = [np.mean(held) if len(held := c[:, 2][~np.isnan(c[:, 2])]) else -1.0 for c in own]
+        best = {i: s for i, _, s in evaluate.greedy_matches([c[:, :2] for c in own], means, truth)}
+        for i, n in enumerate(names):
+            r = got[image, n]
+            assert r.truths == len(truth) and (means[i] if means[i] >= 0 else None) == (r.score if r.score is None else pytest.approx(r.score))
+            assert r.oks is None if best.get(i) is None else r.oks == pytest.approx(best[i])
+
+
 # ---- outcomes and progress
 
 

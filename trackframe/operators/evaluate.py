@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import euclidean, finite, is_finite
-from ..runtime import ship
+from ..runtime import computed_once
 
 
 def surviving_individuals(truth: DataFrame) -> DataFrame:
@@ -118,29 +119,93 @@ def greedy_matches(predicted: list[np.ndarray], scores: list[float], truth: list
     return found
 
 
-def image_matches(rows: DataFrame) -> DataFrame:
+def _dense(points: Column, parts: Column) -> Column:
+    """The point of each bodypart in `parts`, null where there is none; of several the first."""
+    return F.transform(parts, lambda part: F.get(points, F.array_position(points["part"], part).cast("int") - 1))
+
+
+def _shape(points: Column) -> Column:
+    """The visible keypoints of a true individual with their places, and the spread of its similarity; null without a visible one."""
+    own = F.filter(
+        F.transform(points, lambda q, i: F.struct(i.alias("at"), q["gt_x"].alias("x"), q["gt_y"].alias("y"), q["seen"].alias("seen"))),
+        lambda q: F.coalesce(q["seen"], F.lit(False)),
+    )
+    return F.when(F.size(own) > 0, own)
+
+
+def _area(own: Column) -> Column:
+    sides = [F.array_max(own[c]) - F.array_min(own[c]) for c in ("x", "y")]
+    return F.greatest(sides[0] * sides[1], F.lit(1.0))
+
+
+def _similarity(points: Column, truth: Column) -> Column:
+    """`oks` in Spark: NaN where it is NaN there."""
+
+    def gap(q: Column) -> Column:
+        p = F.get(points, q["at"])
+        dx, dy = p["x"] - q["x"], p["y"] - q["y"]
+        return F.nanvl(F.coalesce(dx * dx + dy * dy, F.lit(float("inf"))), F.lit(float("inf")))
+
+    total = F.aggregate(truth["own"], F.lit(0.0), lambda s, q: s + F.exp(-gap(q) / truth["spread"]))
+    return total / F.size(truth["own"])
+
+
+def _greedy(ranked: Column, truths: Column) -> Column:
+    """`greedy_matches` in Spark: (place of the individual, similarity or null) for each of `ranked`."""
+    free = F.sequence(F.lit(0), F.size(truths) - 1)
+    start = F.struct(
+        F.when(F.size(truths) > 0, free).otherwise(F.array().cast("array<int>")).alias("free"),
+        F.array().cast("array<struct<place:int,oks:double>>").alias("found"),
+    )
+
+    def step(state: Column, one: Column) -> Column:
+        options = F.transform(state["free"], lambda j: F.struct(_similarity(one["points"], F.get(truths, j)).alias("oks"), (-j).alias("back")))
+        best = F.array_max(F.filter(options, lambda o: ~F.isnan(o["oks"])))
+        # in an array of one, so that it is computed once for its two uses
+        taken = F.transform(
+            F.array(best),
+            lambda b: F.struct(
+                F.filter(state["free"], lambda j: F.coalesce(j != -b["back"], F.lit(True))).alias("free"),
+                F.array_append(state["found"], F.struct(one["place"].alias("place"), b["oks"].alias("oks"))).alias("found"),
+            ),
+        )
+        return F.get(taken, F.lit(0))
+
+    return F.aggregate(ranked, start, step, lambda state: state["found"])
+
+
+def image_matches(rows: DataFrame, sigma: float = 0.1) -> DataFrame:
     """(image, individual, score, oks, truths): predicted individuals of long rows matched to the true ones, image by image. An individual
-    without a match has a null oks; truths counts the image's true individuals."""
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["individual", "bodypart"], kind="stable")
-        groups = list(pdf.groupby("individual", sort=True))
-        parts = pd.Index(sorted(pdf["bodypart"].unique()))
-        aligned = [g.drop_duplicates("bodypart").set_index("bodypart").reindex(parts) for _, g in groups]
-        pred = [a[["x", "y"]].to_numpy(dtype=float) for a in aligned]
-        truth = [a[["gt_x", "gt_y", "v"]].to_numpy(dtype=float) for a in aligned]
-        truth = [t for t in truth if ((t[:, 2] > 0) & np.isfinite(t[:, :2]).all(axis=1)).any()]
-        scores = [float(g["likelihood"].mean()) for _, g in groups]
-        by = {i: s for i, _, s in greedy_matches(pred, scores, truth)}
-        names = [k for k, _ in groups]
-        return pd.DataFrame({"image": [pdf["image"].iloc[0]] * len(names), "individual": names, "score": scores, "oks": [by.get(i) for i in range(len(names))], "truths": len(truth)})
-
-    ship(rows.sparkSession)
-    slim = rows.select("image", "individual", "bodypart", "x", "y", "likelihood", "gt_x", "gt_y", "v")
-    schema = slim.select("image", "individual", F.lit(0.0).alias("score"), F.lit(0.0).alias("oks"), F.lit(0).cast("long").alias("truths")).schema
-    for f in schema:
-        f.nullable = True
-    return slim.groupBy("image").applyInPandas(match, schema)
+    without a match has a null oks; truths counts the image's true individuals. Rows without an individual belong to none; of several rows
+    of a keypoint the least counts. Everything runs in Spark's expressions after one exchange by image: there are about as many images as
+    rows, too many for a call of Python each."""
+    seen = (F.col("v") > 0) & is_finite(F.col("gt_x")) & is_finite(F.col("gt_y")) & (F.abs("gt_x") < math.inf) & (F.abs("gt_y") < math.inf)
+    point = F.struct(
+        F.struct("bodypart").alias("part"), *(F.col(c).cast("double").alias(c) for c in ("x", "y", "gt_x", "gt_y")), F.coalesce(seen, F.lit(False)).alias("seen"),
+        finite(F.col("likelihood").cast("double")).alias("likelihood"),
+    )
+    each = rows.where(F.col("individual").isNotNull()).repartition("image").groupBy("image", "individual").agg(F.array_sort(F.collect_list(point)).alias("points"))
+    held = F.filter(F.col("points")["likelihood"], lambda v: v.isNotNull())
+    score = finite(F.try_divide(F.aggregate(held, F.lit(0.0), lambda s, v: s + v), F.size(held)))
+    person = F.struct("individual", score.alias("score"), "points")
+    people = computed_once(each.groupBy("image").agg(F.array_sort(F.collect_list(person)).alias("people")))
+
+    parts = F.array_sort(F.array_distinct(F.flatten(F.transform("people", lambda p: p["points"]["part"]))))
+    people = computed_once(people.withColumn("parts", parts))
+    people = computed_once(people.select("image", "people", F.transform("people", lambda p: _dense(p["points"], F.col("parts"))).alias("dense")))
+    own = F.filter(F.transform("dense", _shape), lambda t: t.isNotNull())
+    ranked = F.transform(
+        F.arrays_zip(F.col("people")["score"].alias("score"), "dense"),
+        lambda p, i: F.struct(p["score"].isNull().alias("last"), (-p["score"]).alias("down"), i.alias("place"), p["dense"].alias("points")),
+    )
+    people = computed_once(people.select("image", "people", own.alias("own"), F.array_sort(ranked).alias("ranked")))
+    spread = lambda own: F.lit(2.0) * _area(own) * F.lit((2 * sigma) ** 2)
+    truths = F.transform("own", lambda own: F.struct(own.alias("own"), spread(own).alias("spread")))
+    people = computed_once(people.select("image", "people", truths.alias("shapes"), "ranked"))
+    people = computed_once(people.select("image", "people", F.size("shapes").cast("long").alias("truths"), F.array_sort(_greedy(F.col("ranked"), F.col("shapes"))).alias("found")))
+    names = [F.col("people")["individual"].alias("individual"), F.col("people")["score"].alias("score"), F.col("found")["oks"].alias("oks")]
+    matched = people.select("image", "truths", F.explode(F.arrays_zip(*names)).alias("m"))
+    return matched.select("image", "m.individual", "m.score", "m.oks", "truths")
 
 
 def average_precision(matches: DataFrame, thresholds: tuple[float, ...] = tuple(0.5 + 0.05 * i for i in range(10)), bins: int = 1000) -> DataFrame:

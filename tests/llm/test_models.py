@@ -248,6 +248,17 @@ def test_long_texts_are_hashed_in_blocks(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, hashing.word_and_part_hashes(text, 2, False), strict=True))
 
 
+def test_joined_texts_are_hashed_as_each_by_itself(monkeypatch):
+    texts = [None, "", " ", "One two", "\nTHREE\t", "", "x" * 900, "a\x0bb c\u00a0d \u00c4rger", prose(3, 400), "end"]
+    alone = [hashing.word_and_part_hashes(t, 2, False) for t in texts]
+    for size in (1 << 15, 64):
+        monkeypatch.setattr(hashing, "JOINED", size)
+        words, parts, lengths = hashing.words_of_texts(texts, 2, False)
+        assert lengths.tolist() == [len(w) for w, _ in alone]
+        assert np.array_equal(words, np.concatenate([w for w, _ in alone])) and np.array_equal(parts, np.concatenate([p for _, p in alone]))
+    assert [len(c) for c in hashing.words_of_texts([], 2, False)] == [0, 0, 0]
+
+
 def test_scores_do_not_depend_on_company():
     shape = recurrent.Shape(hidden=6, classes=3, width=3, tails=2)
     p = recurrent.initial(shape, np.ones(shape.inputs))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import map_arrow
 from .common import stage
-from .hashing import U64, word_and_part_hashes
+from .hashing import U64, words_of_texts
 from .recurrent import Shape, initial, score, train
 
 SHAPE = Shape(hidden=32, classes=32, width=64, tails=96)
@@ -58,9 +58,8 @@ def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
 
 def _hashes(texts: list[str | None], tails: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words' hashes and tail buckets of all texts, and the numbers of words."""
-    found = [word_and_part_hashes(t, SUFFIX, False) for t in texts]
-    words, suffixes = (np.concatenate(c) for c in zip(*found, strict=True))
-    return words, (suffixes % U64(tails)).astype(np.int32), np.array([len(w) for w, _ in found])
+    words, suffixes, lengths = words_of_texts(texts, SUFFIX, False)
+    return words, (suffixes % U64(tails)).astype(np.int32), lengths
 
 
 def counted_words(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:

@@ -15,6 +15,8 @@ import numpy as np
 F32 = np.float32
 #: Steps of a window, in training and in scoring.
 WINDOW = 32
+#: Rows whose logits are computed at once.
+ROWS = 2048
 
 
 class Shape:
@@ -42,28 +44,45 @@ def initial(shape: Shape, unigram: np.ndarray, seed: int = 7) -> dict[str, np.nd
     }
 
 
-def _sigmoid(a: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-a))
+def _gates(matrix: np.ndarray, h: int) -> np.ndarray:
+    """(3, rows, h) of a matrix of (rows, 3 * h): the update gate, the reset gate and the candidate, each contiguous."""
+    return np.ascontiguousarray(matrix.reshape(-1, 3, h).transpose(1, 0, 2))
 
 
-def run_window(p: dict[str, np.ndarray], ids: np.ndarray, state: np.ndarray, resets: np.ndarray | None = None, record: list | None = None) -> np.ndarray:
-    """States after each of the inputs `ids` (steps, streams). resets: where a stream's state is zeroed before the step."""
-    h = state.shape[1]
+def run_window(p: dict[str, np.ndarray], ids: np.ndarray, state: np.ndarray, resets: np.ndarray | None = None, record: tuple | None = None) -> np.ndarray:
+    """States after each of the inputs `ids` (steps, streams). resets: where a stream's state is zeroed before the step. record: arrays of
+    (steps, streams, h) for the states before each step, the gates, the candidate and its recurrent part, which are filled."""
+    streams, h = state.shape
     states = np.empty((*ids.shape, h), dtype=F32)
-    u, table = p["u"], p["x"]
+    u, table = _gates(p["u"], h), _gates(p["x"], h)
+    x, g = np.empty((3, streams, h), dtype=table.dtype), np.empty((3, streams, h), dtype=u.dtype)
     for t in range(len(ids)):
-        if resets is not None:
+        if resets is not None and resets[t].any():
             state = state * ~resets[t][:, None]
-        x = table[ids[t]]
-        g = state @ u
-        gates = _sigmoid(x[:, : 2 * h] + g[:, : 2 * h])
-        z, r = gates[:, :h], gates[:, h:]
-        gn = g[:, 2 * h :]
-        n = np.tanh(x[:, 2 * h :] + r * gn)
+        np.take(table, ids[t], axis=1, out=x, mode="clip")
+        np.matmul(state, u, out=g)
         if record is not None:
-            record.append((state, z, r, n, gn))
-        state = n + z * (state - n)
-        states[t] = state
+            record[0][t], record[4][t] = state, g[2]
+        gates, n = x[:2], x[2]
+        gates += g[:2]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        g[2] *= gates[1]
+        n += g[2]
+        n *= -2  # tanh is 2 / (1 + exp(-2 n)) - 1
+        np.exp(n, out=n)
+        n += 1
+        np.divide(2, n, out=n)
+        n -= 1
+        if record is not None:
+            record[1][t], record[2][t], record[3][t] = gates[0], gates[1], n
+        after = states[t]
+        np.subtract(state, n, out=after, casting="same_kind")
+        after *= gates[0]
+        after += n
+        state = after
     return states
 
 
@@ -72,46 +91,58 @@ def _bounded(weights: np.ndarray, constants: np.ndarray) -> bool:
     return float(np.abs(weights).sum(axis=-2).max() + np.abs(constants).max()) < 80
 
 
-def _softmax_loss(logits: np.ndarray, target: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log probabilities (natural) of the targets, with the exponentials and their sums."""
+def _softmax(own: np.ndarray, weights: np.ndarray, constants: np.ndarray, target: np.ndarray, bounded: bool, gradient: tuple | None, back: np.ndarray | None) -> np.ndarray:
+    """Log probabilities (natural) of the targets after the states `own`. gradient: arrays to which those of weights and constants
+    are added; back: receives the gradient of the states. The exponentials are left undivided: states and products, which are
+    smaller, are divided by their sums instead."""
+    logits = own @ weights
+    logits += constants
     if not bounded:
         logits -= logits.max(axis=1, keepdims=True)
-    own = logits[np.arange(len(target)), target]
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    return own - np.log(total), e, total
+    at = (np.arange(len(target)), target)
+    found = logits[at]
+    e = np.exp(logits, out=logits)
+    total = e @ np.ones(e.shape[1], dtype=e.dtype)
+    found -= np.log(total)
+    if gradient is not None:
+        share = (1 / total)[:, None]
+        e[at] -= total
+        gradient[0][...] += (own * share).T @ e
+        gradient[1][...] += share[:, 0] @ e
+        np.matmul(e, weights.T, out=back)
+        back *= share
+    return found
 
 
 def outputs(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log probabilities of `targets` after `states` (rows), and the gradient of the states if `gradients` is to be filled."""
+    """Log probabilities of `targets` after `states` (rows), and the gradient of the states if `gradients` is to be filled. Rows are
+    sorted by target, and the softmaxes go over `ROWS` at once, which the processor's cache holds."""
+    order = np.argsort(targets.astype(np.int16) if shape.inputs < 2**15 else targets, kind="stable")
+    targets, states = targets[order], states[order]
     outer = np.where(targets < shape.head, targets // shape.width, targets - shape.head + shape.classes)
-    logits = states @ p["c"]
-    logits += p["cb"]
-    found, e, total = _softmax_loss(logits, outer, _bounded(p["c"], p["cb"]))
-    back = None
-    if gradients is not None:
-        e /= total[:, None]
-        e[np.arange(len(outer)), outer] -= 1
-        gradients["c"] += states.T @ e
-        gradients["cb"] += e.sum(axis=0)
-        back = e @ p["c"].T
-    order = np.argsort(outer, kind="stable")
-    ends = np.searchsorted(outer[order], np.arange(shape.classes + 1))
+    found = np.empty(len(order), dtype=np.result_type(states, p["c"]))
+    back, more = (np.empty((len(order), shape.hidden), dtype=found.dtype) if gradients is not None else None for _ in range(2))
+    part = lambda rows, array: None if array is None else array[rows]
+    g = None if gradients is None else (gradients["c"], gradients["cb"])
+    bounded = _bounded(p["c"], p["cb"])
+    for at in range(0, len(order), ROWS):
+        rows = slice(at, at + ROWS)
+        found[rows] = _softmax(states[rows], p["c"], p["cb"], outer[rows], bounded, g, part(rows, back))
+    ends = np.searchsorted(outer, np.arange(shape.classes + 1))
     bounded = _bounded(p["w"], p["wb"])
     for k in range(shape.classes):
-        at = order[ends[k] : ends[k + 1]]
-        if not len(at):
-            continue
-        own, inner = states[at], targets[at] - k * shape.width
-        more, e, total = _softmax_loss(own @ p["w"][k] + p["wb"][k], inner, bounded)
-        found[at] += more
-        if gradients is not None:
-            e /= total[:, None]
-            e[np.arange(len(at)), inner] -= 1
-            gradients["w"][k] += own.T @ e
-            gradients["wb"][k] += e.sum(axis=0)
-            back[at] += e @ p["w"][k].T
-    return found, back
+        g = None if gradients is None else (gradients["w"][k], gradients["wb"][k])
+        for at in range(ends[k], ends[k + 1], ROWS):
+            rows = slice(at, min(at + ROWS, ends[k + 1]))
+            found[rows] += _softmax(states[rows], p["w"][k], p["wb"][k], targets[rows] - k * shape.width, bounded, g, part(rows, more))
+            if back is not None:
+                back[rows] += more[rows]
+    result = np.empty_like(found)
+    result[order] = found
+    if back is None:
+        return result, None
+    more[order] = back
+    return result, more
 
 
 def train(shape: Shape, p: dict[str, np.ndarray], memory: dict[str, np.ndarray], documents: list[np.ndarray], begin: int, rate: float = 0.1, streams: int = 128, seed: int = 0) -> float:
@@ -126,39 +157,51 @@ def train(shape: Shape, p: dict[str, np.ndarray], memory: dict[str, np.ndarray],
     tokens = np.resize(tokens, steps * streams).reshape(streams, steps).T
     inputs = np.vstack((np.full((1, streams), begin, dtype=tokens.dtype), tokens[:-1]))
     h, state, seen = shape.hidden, np.zeros((streams, shape.hidden), dtype=F32), 0.0
+    kind = p["u"].dtype
     for at in range(0, steps, WINDOW):
         ids, targets = inputs[at : at + WINDOW], tokens[at : at + WINDOW]
-        resets, record = ids == begin, []
+        resets, record = ids == begin, tuple(np.empty((*ids.shape, h), dtype=kind) for _ in range(5))
         states = run_window(p, ids, state, resets, record)
         state = states[-1]
-        g = {k: np.zeros_like(p[k]) for k in ("u", "c", "cb", "w", "wb")}
+        g = {k: np.zeros_like(p[k]) for k in ("c", "cb", "w", "wb")}
         found, back = outputs(shape, p, states.reshape(-1, h), targets.reshape(-1), g)
         seen += float(found.sum())
         back = back.reshape(states.shape)
-        d_inputs = np.empty((*ids.shape, 3 * h), dtype=F32)
-        d = np.zeros_like(state)
+        before, z, r, n, gn = record
+        ut = np.ascontiguousarray(_gates(p["u"], h).transpose(0, 2, 1))
+        # what the gradient of a step's state is multiplied by, for all steps at once
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (before - n) * z * (1 - z)
+        to_r = gn * r * (1 - r)
+        dg, dn = np.empty((3, *ids.shape, h), dtype=kind), np.empty((*ids.shape, h), dtype=kind)
+        d, through = np.zeros(state.shape, dtype=kind), np.empty((3, *state.shape), dtype=kind)
         for t in range(len(ids) - 1, -1, -1):
-            before, z, r, n, gn = record[t]
-            d = d + back[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dg = np.concatenate((dz, dr, dn * r), axis=1)
-            d_inputs[t, :, : 2 * h], d_inputs[t, :, 2 * h :] = dg[:, : 2 * h], dn
-            g["u"] += before.T @ dg
-            d = (d * z + dg @ p["u"].T) * ~resets[t][:, None]
+            d += back[t]
+            np.multiply(d, to_n[t], out=dn[t])
+            np.multiply(d, to_z[t], out=dg[0, t])
+            np.multiply(dn[t], to_r[t], out=dg[1, t])
+            np.multiply(dn[t], r[t], out=dg[2, t])
+            np.matmul(dg[:, t], ut, out=through)
+            d *= z[t]
+            for part in through:
+                d += part
+            if resets[t].any():
+                d *= ~resets[t][:, None]
+        own = np.matmul(before.reshape(-1, h).T, dg.reshape(3, -1, h))
+        g["u"] = np.ascontiguousarray(own.transpose(1, 0, 2)).reshape(h, 3 * h)
         scale = F32(1 / ids.shape[1])
         for k, value in g.items():
             value *= scale
             np.clip(value, -1, 1, out=value)
             memory[k] += value * value
             p[k] -= rate * value / np.sqrt(memory[k])
-        flat = ids.reshape(-1)
-        by = np.argsort(flat, kind="stable")
-        rows, first = np.unique(flat[by], return_index=True)
-        value = np.clip(np.add.reduceat(d_inputs.reshape(-1, 3 * h)[by], first, axis=0) * scale, -1, 1)
-        memory["x"][rows] += value * value
-        p["x"][rows] -= rate * value / np.sqrt(memory["x"][rows])
+        rows, places = np.unique(ids.reshape(-1), return_inverse=True)
+        columns = [d.reshape(-1, h).T[j] for d in (dg[0], dg[1], dn) for j in range(h)]
+        value = np.stack([np.bincount(places, weights=c, minlength=len(rows)) for c in columns], axis=1).astype(F32)
+        value = np.clip(value * scale, -1, 1)
+        held = memory["x"][rows] + value * value
+        memory["x"][rows] = held
+        p["x"][rows] -= rate * value / np.sqrt(held)
     return seen / tokens.size
 
 
@@ -180,19 +223,18 @@ def score(shape: Shape, p: dict[str, np.ndarray], documents: list[np.ndarray], b
     if not documents:
         return result
     held = dealt(np.array([len(d) for d in documents]), streams)
-    lines = [np.concatenate([documents[i] for i in own]) for own in held]
-    owners = [np.repeat(own, [len(documents[i]) for i in own]) for own in held]
-    lengths = np.array([len(x) for x in lines])
-    state, last = np.zeros((len(lines), shape.hidden), dtype=F32), np.full(len(lines), begin, dtype=np.int32)
+    turn = [i for own in held for i in own]
+    tokens = np.concatenate([documents[i] for i in turn])
+    owners = np.repeat(turn, [len(documents[i]) for i in turn])
+    lengths = np.array([sum(len(documents[i]) for i in own) for own in held])
+    firsts = np.cumsum(lengths) - lengths
+    state, last = np.zeros((len(held), shape.hidden), dtype=F32), np.full(len(held), begin, dtype=np.int32)
     for start in range(0, int(lengths[0]), WINDOW):
         live = int(np.searchsorted(-lengths, -start, side="left"))  # streams longer than `start`
         steps = min(WINDOW, int(lengths[0]) - start)
-        targets = np.full((steps, live), begin, dtype=np.int32)
-        own = np.full((steps, live), -1)
-        for k in range(live):
-            part = lines[k][start : start + steps]
-            targets[: len(part), k] = part
-            own[: len(part), k] = owners[k][start : start + steps]
+        reached = np.arange(start, start + steps)[:, None]
+        inside, places = reached < lengths[:live], np.minimum(firsts[:live] + reached, len(tokens) - 1)
+        targets, own = np.where(inside, tokens[places], np.int32(begin)), np.where(inside, owners[places], -1)
         ids = np.vstack((last[None, :live], targets[:-1]))
         states = run_window(p, ids, state[:live], ids == begin)
         state, last = states[-1], targets[-1]

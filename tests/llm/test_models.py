@@ -241,6 +241,49 @@ def test_backpropagation_through_time_matches_differences():
         assert math.isclose(step, slope / math.sqrt(1 + slope * slope), rel_tol=3e-2, abs_tol=2e-4), (name, at)
 
 
+def test_outputs_take_two_softmaxes_a_block_whatever_the_classes(monkeypatch):
+    """Against softmaxes written out row by row, over blocks that begin and end within classes; one exponential for all classes of a block."""
+    shape = recurrent.Shape(hidden=6, classes=9, width=4, tails=5)
+    rng = np.random.default_rng(6)
+    p = {k: rng.normal(size=v.shape).astype(np.float32) for k, v in recurrent.initial(shape, np.ones(shape.inputs)).items()}
+    states, targets = rng.uniform(-1, 1, (90, 6)).astype(np.float32), rng.integers(0, shape.inputs, 90).astype(np.int16)
+    targets[:20] = 7  # more than a block of one word
+    calls, softmax = [], recurrent._softmax
+    monkeypatch.setattr(recurrent, "_softmax", lambda *a: calls.append(1) or softmax(*a))
+    monkeypatch.setattr(recurrent, "ROWS", 16)
+    found = recurrent.outputs(shape, p, states, targets)[0]
+    log = lambda v: v - np.log(np.exp(v).sum())
+    for s, t, one in zip(states.astype(float), targets.tolist(), found, strict=True):
+        k, j = divmod(t, shape.width)
+        outer = log(s @ p["c"] + p["cb"])
+        expected = outer[k] + log(s @ p["w"][k] + p["wb"][k])[j] if t < shape.head else outer[t - shape.head + shape.classes]
+        assert math.isclose(one, expected, rel_tol=1e-4)
+    assert len(calls) <= 2 * math.ceil(90 / 16)
+
+
+def test_rows_of_an_id_are_summed():
+    rng = np.random.default_rng(7)
+    for ids in (rng.zipf(1.4, 500) % 300, np.arange(9)[::-1].copy(), np.full(40, 70_000)):
+        values = rng.normal(size=(3, len(ids), 5))
+        found, sums = recurrent._summed(ids, values)
+        assert found.tolist() == sorted(set(ids.tolist()))
+        assert np.allclose(sums, np.stack([values[:, ids == i].sum(axis=1) for i in found], axis=1))
+
+
+def test_scores_follow_the_definition_step_by_step():
+    """Documents of all lengths in few streams, so that streams end within windows, with ids of 16 bits as they are staged."""
+    shape = recurrent.Shape(hidden=4, classes=3, width=3, tails=2)
+    p = recurrent.initial(shape, np.ones(shape.inputs))
+    rng = np.random.default_rng(8)
+    documents_ = [np.append(rng.integers(1, shape.inputs, n), 0).astype(np.int16) for n in (0, 1, 31, 32, 33, 64, 70)]
+    for found, ids in zip(recurrent.score(shape, p, documents_, 0, streams=3), documents_, strict=True):
+        state, total = np.zeros((1, 4), dtype=np.float32), 0.0
+        for before, target in zip([0, *ids[:-1].tolist()], ids.tolist(), strict=True):
+            state = recurrent.run_window(p, np.array([[before]]), state)[-1]
+            total += float(recurrent.outputs(shape, p, state, np.array([target]))[0][0])
+        assert math.isclose(found, total, rel_tol=1e-5)
+
+
 def test_long_texts_are_hashed_in_blocks(monkeypatch):
     text = prose(8, 3000) + " " + "x" * 5000 + " end"
     whole = hashing.word_and_part_hashes(text, 2, False)

@@ -179,10 +179,11 @@ def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_
     model = Model(shape, names, n, heads, np.log10(by_tail / total), int(tokens), int(types), ends, weights)
 
     shipped = spark.sparkContext.broadcast(model)
+    kind = np.int16 if shape.inputs < 2**15 else np.int32  # of the staged ids
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [one.tobytes() for group in _groups(batch.column(2)) for one in shipped.value.encode(group)[0]]
+            ids = [one.astype(kind).tobytes() for group in _groups(batch.column(2)) for one in shipped.value.encode(group)[0]]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["replica", "hash", "ids"])
 
     # dealt by place as well as by text, so that the copies of a text don't meet in one replica; a replica is a run of one file
@@ -213,14 +214,14 @@ def fit(docs: DataFrame, text_col: str = "text", shape: Shape = SHAPE, share_of_
                         total, n = total + trained(at, documents), n + 1
                         documents = []
                     at = own
-                    documents.append(np.frombuffer(ids.as_py(), dtype=np.int32))
+                    documents.append(np.frombuffer(ids.as_py(), dtype=kind))
                     seen += len(documents[-1])
             if documents:
                 total, n = total + trained(at, documents), n + 1
                 slices = [total[i : i + SLICE].tolist() for i in range(0, len(total), SLICE)]
                 yield _sums(list(range(len(slices))), slices, [n] * len(slices), [seen] * len(slices))
 
-        own = dealt.where(F.floor(F.col("replica") / replicas) == k).select("replica", "ids")
+        own = dealt.where(F.col("replica").between(k * replicas, (k + 1) * replicas - 1)).select("replica", "ids")  # a range of each sorted file
         parts = map_arrow(own, replica, SUMS)
         whole = map_arrow(parts.repartition(min(replicas, -(-size // SLICE)), "slice"), _added, SUMS).toArrow()
         if whole.num_rows:
